@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,19 @@ def small_rows(df: DataFrame, limit: int) -> list | None:
     """The rows of `df` if there are at most `limit`, else None; never brings more than limit + 1 to the driver."""
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpuslathe_shipped", False):
+        return
+    sc._corpuslathe_shipped = True
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="corpuslathe-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/corpuslathe-{_RUN}.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(name)
