@@ -39,8 +39,8 @@ _SPLIT = re.compile(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _WIDE_RUN = re.compile(f"[{WIDE_CHAR}�]+")
 _BEYOND = re.compile(r"[^\x00-\x7f]")
 _NARROW_RUN = re.compile(f"[^\\s{WIDE_CHAR}�\\x00-\\x1f]*[^\\x00-\\x7f{WIDE_CHAR}�][^\\x00-\\x1f{WIDE_CHAR}�]*")
-#: Signs beyond ASCII that writers use, besides letters.
-_SIGNS = frozenset("’‘“”„‚«»–—…•°½¼¾×÷€£¥§©®™¿¡№´·ªº²³±µ")
+#: Quotation marks, dashes and dots that stand next to letters in well-written text.
+_TYPOGRAPHIC = frozenset("’‘“”„‚«»‹›–—…•")
 
 
 def _read(data: bytes, enc: str, undefined: str) -> str:
@@ -139,10 +139,10 @@ def _plain(c: str) -> bool:
     return c < "\x80" or "À" <= c <= "ſ" and c not in "×÷" or "А" <= c <= "я" or c in "ёЁ" or "Α" <= c <= "ω"
 
 
-def units(text: str) -> tuple[set[str], set[str]]:
-    """(sources, probes): units that may be garbled into forms, and units of this text that may be such forms."""
+def units(text: str) -> tuple[set[str], set[str], set[str]]:
+    """(sources, probes, whole): units that may be garbled into forms, units of this text that may be such forms, and those that stand alone between ASCII delimiters."""
     if not _BEYOND.search(text):
-        return set(), set()
+        return set(), set(), set()
     found = {t for t in _SPLIT.split(text) if t and not t.isascii()}
     sources, probes = {t for t in found if len(t) <= 40}, {t for t in found if len(t) <= 80}
     for t in list(sources):
@@ -165,11 +165,11 @@ def units(text: str) -> tuple[set[str], set[str]]:
                 w = r[i : i + n]
                 if w[0] > "\x7f":
                     probes.add(w)
-    return sources, probes
+    return sources, probes, found
 
 
-def forms(unit: str) -> Iterator[tuple[str, str]]:
-    """(garbled form, chain) of a unit under all chains; forms that are the unit itself or lost what makes them one are left out."""
+def forms(unit: str) -> Iterator[tuple[str, str, bool]]:
+    """(garbled form, chain, whether no byte was lost) of a unit under all chains; forms that are the unit itself or lost what makes them one are left out."""
     wide = len(unit) == 2 and all(_WIDE_RUN.fullmatch(c) for c in unit)
     seen = {unit, unit.lower(), ""}
     for chain in CHAINS:
@@ -186,17 +186,20 @@ def forms(unit: str) -> Iterator[tuple[str, str]]:
                 for v in (g, g.lower(), g.upper()):
                     if v not in seen and not v.isascii() and (len(v) > 1 or v == "�"):
                         seen.add(v)
-                        yield v, name
+                        yield v, name, undefined == "keep"
 
 
 def _grown(unit: str, form: str, chain: str) -> bool:
-    """Whether the form is what several bytes of a character became as Latin letters and signs, or a sign of loss: no writer puts those together."""
-    if form == "�":
-        return True
+    """Whether the form is what the several bytes of a character became as Latin letters and signs."""
     beyond = len(_BEYOND.findall(form))
     return chain.startswith("utf-8") and chain.rsplit(">", 1)[1] in _LATIN and beyond >= 2 and beyond > len(_BEYOND.findall(unit))
 
 
+def spark_parallelism(df: DataFrame) -> int:
+    """Tasks that keep the cluster busy with work that is heavy for its bytes."""
+    return 2 * df.sparkSession.sparkContext.defaultParallelism
+
+
 def _tokens(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     id_type = rows.schema[id_col].dataType.simpleString()
 
@@ -204,21 +207,22 @@ def _tokens(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             for at in range(0, len(b), 500):
                 part = b.iloc[at : at + 500]
-                ids, toks, source, probe = [], [], [], []
+                ids, toks, source, probe, whole = [], [], [], [], []
                 for i, t in zip(part["id"], part["t"], strict=True):
                     if not t:
                         continue
-                    s, p = units(t)
+                    s, p, w = units(t)
                     for u in s | p:
                         ids.append(i)
                         toks.append(u)
                         source.append(u in s)
                         probe.append(u in p)
+                        whole.append(u in w)
                 if toks:
-                    yield pd.DataFrame({"id": ids, "unit": toks, "source": source, "probe": probe})
+                    yield pd.DataFrame({"id": ids, "unit": toks, "source": source, "probe": probe, "whole": whole})
 
     src = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where(F.col("t").rlike("[^\\x00-\\x7f]"))
-    return src.mapInPandas(run, f"id {id_type}, unit string, source boolean, probe boolean")
+    return src.mapInPandas(run, f"id {id_type}, unit string, source boolean, probe boolean, whole boolean")
 
 
 def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -229,33 +233,38 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     times as frequent as its original is a word of its own, unless it is of the latter kind.
     """
     t = materialize(_tokens(rows, id_col, text_col), "units")
-    freq = materialize(t.groupBy("unit").agg(F.count("*").alias("df"), F.max("source").alias("source"), F.max("probe").alias("probe")), "unit_counts")
+    freq = materialize(t.groupBy("unit").agg(F.count("*").alias("df"), F.max("source").alias("source"), F.max("probe").alias("probe"), F.max("whole").alias("whole")), "unit_counts")
 
     def table(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), 2_000):
                 part = b.iloc[at : at + 2_000]
                 out = []
-                for u, n in zip(part["unit"], part["df"], strict=True):
+                for u, n, alone in zip(part["unit"], part["df"], part["whole"], strict=True):
                     odd = oddness(u)
-                    for f, chain in forms(u):
-                        grown = _grown(u, f, chain)
-                        out.append((f, u, chain, n, grown or oddness(f) > odd, grown))
+                    for f, chain, all_bytes in forms(u):
+                        grown = f == "�" or all_bytes and _grown(u, f, chain)
+                        # a letter before a quotation mark or dash is common, unless the two stand where a sign alone stands elsewhere
+                        clear = f == "�" or any(not _plain(c) and c not in _TYPOGRAPHIC for c in f)
+                        if grown and not clear and not alone:
+                            grown = False
+                        out.append((f, u, chain, n, grown or oddness(f) > odd, grown, clear))
                 if out:
-                    yield pd.DataFrame(out, columns=["form", "original", "chain", "original_df", "strong", "grown"])
+                    yield pd.DataFrame(out, columns=["form", "original", "chain", "original_df", "strong", "grown", "clear"])
 
-    made = freq.where("source").select("unit", "df").repartition(F.xxhash64("unit")).mapInPandas(table, "form string, original string, chain string, original_df bigint, strong boolean, grown boolean")
+    parts = max(spark_parallelism(rows), -(-freq.where("source").count() // 10_000))
+    made = freq.where("source").select("unit", "df", "whole").repartition(parts, F.xxhash64("unit")).mapInPandas(table, "form string, original string, chain string, original_df bigint, strong boolean, grown boolean, clear boolean")
     there = freq.where("probe").select(F.col("unit").alias("form"), F.col("df").alias("form_df"))
     hit = made.join(there, "form")
     # the most frequent original explains a form; a form at least as frequent is a word of its own
-    best = hit.groupBy("form").agg(F.max(F.struct("grown", "strong", "original_df", "original", "chain")).alias("b"), F.first("form_df").alias("form_df"), F.collect_set("chain").alias("chains"))
+    best = hit.groupBy("form").agg(F.max(F.struct("grown", "strong", "original_df", "original", "chain", "clear")).alias("b"), F.first("form_df").alias("form_df"), F.collect_set("chain").alias("chains"))
     fold = freq.groupBy(F.lower("unit").alias("folded")).agg(F.sum("df").alias("fold_df"))
     best = best.withColumn("folded", F.lower("form")).join(fold, "folded", "left")
     best = best.where((F.col("b.original_df") > F.col("form_df")) | F.col("b.grown") | (F.col("b.strong") & (4 * F.col("b.original_df") >= F.col("form_df"))))
     # a weak form whose lower case is an established word is that word in capitals
     best = best.where(F.col("b.strong") | (F.col("fold_df") <= F.col("b.original_df") / 2) | (F.col("fold_df") <= 2))
-    best = materialize(best.select("form", F.col("b.original").alias("original"), F.col("b.chain").alias("chain"), "chains", F.col("b.strong").alias("strong"), "form_df", F.col("b.original_df").alias("original_df")), "garbled_forms")
-    return t.where("probe").select("id", F.col("unit").alias("form")).join(best, "form").select("id", "form", "original", "chain", "chains", "strong", "form_df", "original_df")
+    best = materialize(best.select("form", F.col("b.original").alias("original"), F.col("b.chain").alias("chain"), "chains", F.col("b.strong").alias("strong"), (F.col("b.grown") & ~F.col("b.clear")).alias("alone"), "form_df", F.col("b.original_df").alias("original_df")), "garbled_forms")
+    return t.where("probe").select("id", F.col("unit").alias("form"), "whole").join(best, "form").where("whole or not alone").select("id", "form", "original", "chain", "chains", "strong", "form_df", "original_df")
 
 
 def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: int = 3) -> DataFrame:
