@@ -109,6 +109,7 @@ def pack(sizes: DataFrame, id_col: str = "id", size_col: str = "n_tokens", capac
         raise ValueError("the capacity must be positive")
     base = sizes.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(F.col(size_col).cast("bigint"), F.lit(0)), F.lit(0)).alias("n"))
     cuts = F.when(F.col("n") <= capacity, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(capacity).cast("bigint")))
+    base = materialize(base, "sizes")  # the range sort reads its input twice
     items = base.select("id", "n", F.posexplode(cuts).alias("piece", "piece_start")).select("id", "piece", "piece_start", F.least(F.col("n") - F.col("piece_start"), F.lit(capacity)).cast("int").alias("n_tokens"))
     order = [F.col("n_tokens").desc(), F.col("id"), F.col("piece")]
     ranged = materialize(items.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "ranged")
