@@ -96,6 +96,11 @@ def signals(c: Column | str, groups: dict[str, list[str]]) -> Column:
     return F.array_compact(F.array(*(F.when(any_of(c, ps), F.lit(n)) for n, ps in groups.items())))
 
 
+def let(fn, **values: Column) -> Column:  # noqa: ANN001
+    """fn of a struct of the values, each computed once: inside a lambda an expression would be computed for every element."""
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), fn), F.lit(0))
+
+
 def spans(c: Column | str, pattern: str) -> Column:
     """Array of (start, end, match) of all matches; the pattern must not match the empty string.
 
@@ -103,19 +108,28 @@ def spans(c: Column | str, pattern: str) -> Column:
     """
     t = col(c)
     found, between = F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.split(t, pattern, -1)
-    total = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + F.length(x))
+    total = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + x)
+
+    def placed(b: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            start = total(b["gaps"], i + 1) + total(b["sizes"], i)
+            return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"))
 
-    def span(m: Column, i: Column) -> Column:
-        start = total(between, i + 1) + total(found, i)
-        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"))
+        return F.transform(b["found"], span)
 
-    return F.transform(found, span)
+    length = lambda a: F.transform(a, lambda x: F.length(x))
+    some = lambda f: let(placed, found=f["found"], sizes=length(f["found"]), gaps=length(between))
+    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    return let(lambda f: F.when(F.size(f["found"]) > 0, some(f)).otherwise(none), found=found)  # most patterns aren't there
 
 
 def lines(c: Column | str) -> Column:
     """Array of (line, start); only line feeds end a line."""
-    parts = F.split(col(c), "\n", -1)
-    return F.transform(parts, lambda x, i: F.struct(x.alias("line"), F.aggregate(F.slice(parts, F.lit(1), i), F.lit(0), lambda s, y: s + F.length(y) + 1).alias("start")))
+
+    def placed(b: Column) -> Column:
+        return F.transform(b["parts"], lambda x, i: F.struct(x.alias("line"), F.aggregate(F.slice(b["sizes"], F.lit(1), i), F.lit(0), lambda s, y: s + y + 1).alias("start")))
+
+    return let(lambda p: let(placed, parts=p["parts"], sizes=F.transform(p["parts"], lambda x: F.length(x))), parts=F.split(col(c), "\n", -1))
 
 
 def slice_of(c: Column | str, start: Column, end: Column) -> Column:

@@ -138,15 +138,20 @@ def _settings(c: Column) -> Column:
 
 def _definitions(c: Column) -> Column:
     """Reference blocks: from a definition to the next one or a blank line."""
-    defs = T.spans(c, DEFINITION)
+    return T.let(lambda b: _blocks(c, b["defs"]), defs=T.spans(c, DEFINITION))
 
+
+def _blocks(c: Column, defs: Column) -> Column:
     def block(d: Column, i: Column) -> Column:
         after = F.substring(c, d["end"] + 1, F.length(c))
         blank = F.when(after.rlike(r"(?U)\n\s*\n"), d["end"] + F.length(F.get(F.split(after, r"(?U)\n\s*\n", 2), F.lit(0))))
         end = F.greatest(d["end"], F.least(F.length(c), F.get(defs, i + 1)["start"], blank))
         return F.struct(d["start"].alias("start"), end.alias("end"), T.strip(F.regexp_extract(d["match"], DEFINITION, 1)).alias("label"), _role(T.slice_of(c, d["start"], end)).alias("role"))
 
-    blocks = F.transform(defs, block)
+    return T.let(lambda b: _block_facts(b["blocks"]), blocks=F.transform(defs, block))
+
+
+def _block_facts(blocks: Column) -> Column:
     named = F.transform(blocks, lambda b: _fact(b, "reference_block", "definition", _json(label=b["label"], role_candidate=b["role"]), "reference.block", "medium", 9))
     roles = F.transform(F.filter(blocks, lambda b: b["role"].isNotNull()), lambda b: _fact(b, "entity_reference_span", b["role"], _json(label=b["label"], role=b["role"]), "entity.role", "medium", 9))
     return F.concat(named, roles)
@@ -191,35 +196,46 @@ def _quotations(c: Column, q: str) -> Column:
 
 
 def facts_of(c: Column) -> Column:
-    """Array of the facts of a text, by start, end, kind, subtype and value; of equal (kind, start, end, value) the first rule's."""
-    labeled = F.concat(_settings(c), _each(c, LABELED_DURATION, "declared_duration", "prompt_label", _seconds(LABELED_DURATION), "duration.labeled", "high", 2))
+    """Array of the facts of a text, in the order of the rules; a rule is tried only where a piece of text it can't do without is there."""
+    return T.let(lambda b: _rules(c, b["low"]), low=F.lower(c))
+
+
+def _rules(c: Column, low: Column) -> Column:
+    def needing(words: list[str], facts: Column) -> Column:
+        found = F.lit(False)
+        for w in words:
+            found = found | F.contains(low, F.lit(w))
+        return F.when(found, facts).otherwise(_none())
+
+    labeled = F.concat(needing(["{"], _settings(c)), needing(["duration"], _each(c, LABELED_DURATION, "declared_duration", "prompt_label", _seconds(LABELED_DURATION), "duration.labeled", "high", 2)))
     on_lines = _in_lines(c, SETTINGS_LINE, DURATION, lambda s, _: _fact(s, "declared_duration", "settings_line", _seconds(DURATION)(s["match"]), "duration.settings-line", "medium", 3))
-    on_lines = F.filter(on_lines, lambda f: ~F.exists(labeled, lambda g: (g["kind"] == "declared_duration") & (f["start"] < g["end"]) & (f["end"] > g["start"])))
+    on_lines = T.let(lambda b: F.filter(b["on_lines"], lambda f: ~F.exists(b["labeled"], lambda g: (g["kind"] == "declared_duration") & (f["start"] < g["end"]) & (f["end"] > g["start"]))), on_lines=on_lines, labeled=labeled)
     aspects = _in_lines(c, ASPECT_LINE, ASPECT, lambda s, line: _fact(s, "declared_aspect_ratio", F.when(line.rlike(OPTICAL), "optical").otherwise("output"), F.concat(F.regexp_extract(s["match"], ASPECT, 1), F.lit(":"), F.regexp_extract(s["match"], ASPECT, 2)), "aspect.context", "medium", 5))
-    every = F.concat(
+    audio = {n: _each(c, p, "audio", n, lambda m, n=n: _json(signal=m, polarity=F.lit("negative" if n.startswith("negative") else "positive")), "audio.signal", "medium", 17) for n, p in AUDIO.items()}
+    needs = {"negative_music": ["music", "score"], "negative_voiceover": ["voice"], "negative_subtitles": ["subtitle"], "sfx_only": ["sfx"], "silence": ["silen"], "audio_heading": ["audio", "sound", "sfx", "music"]}
+    return F.concat(
         labeled,
-        on_lines,
-        _each(c, LABELED_ASPECT, "declared_aspect_ratio", "output", lambda m: F.regexp_replace(F.regexp_extract(m, LABELED_ASPECT, 1), r"(?U)\s+", ""), "aspect.labeled", "high", 4),
-        aspects,
-        _each(c, MODE_LABEL, "generation_mode", "label", _group(MODE_LABEL), "mode.labeled", "high", 6),
-        _each(c, MODE, "generation_mode", "token", F.upper, "mode.token", "medium", 6),
-        _each(c, MODE_WORDS, "generation_mode", "natural_language", F.lower, "mode.natural-language", "medium", 6),
-        _each(c, MODEL_LABEL, "declared_model", "label", _group(MODEL_LABEL), "model.labeled", "medium", 7),
-        _each(c, TRIPLE, "reference_tag", "triple", _group(TRIPLE), "reference.triple", "high", 8),
-        _each(c, AT_TAG, "reference_tag", "at_tag", _group(AT_TAG), "reference.at", "high", 8),
-        _each(c, MEDIA_TAG, "reference_tag", "h3_media", lambda m: _json(kind=F.regexp_extract(m, MEDIA_TAG, 1), number=F.regexp_extract(m, MEDIA_TAG, 2).cast("bigint")), "reference.media", "high", 8),
-        _definitions(c),
+        needing(["16", "2.3", "sfx", "photoreal", "non-ip", "cinematic", "output", "settings"], on_lines),
+        needing(["aspect", "ratio"], _each(c, LABELED_ASPECT, "declared_aspect_ratio", "output", lambda m: F.regexp_replace(F.regexp_extract(m, LABELED_ASPECT, 1), r"(?U)\s+", ""), "aspect.labeled", "high", 4)),
+        needing([":"], aspects),
+        needing(["mode"], _each(c, MODE_LABEL, "generation_mode", "label", _group(MODE_LABEL), "mode.labeled", "high", 6)),
+        needing(["2v"], _each(c, MODE, "generation_mode", "token", F.upper, "mode.token", "medium", 6)),
+        needing(["-to-video"], _each(c, MODE_WORDS, "generation_mode", "natural_language", F.lower, "mode.natural-language", "medium", 6)),
+        needing(["model"], _each(c, MODEL_LABEL, "declared_model", "label", _group(MODEL_LABEL), "model.labeled", "medium", 7)),
+        needing(["<<<"], _each(c, TRIPLE, "reference_tag", "triple", _group(TRIPLE), "reference.triple", "high", 8)),
+        needing(["@"], _each(c, AT_TAG, "reference_tag", "at_tag", _group(AT_TAG), "reference.at", "high", 8)),
+        needing(["<"], _each(c, MEDIA_TAG, "reference_tag", "h3_media", lambda m: _json(kind=F.regexp_extract(m, MEDIA_TAG, 1), number=F.regexp_extract(m, MEDIA_TAG, 2).cast("bigint")), "reference.media", "high", 8)),
+        needing(["<<<", "@"], _definitions(c)),
         _line_facts(c),
-        _each(c, TIMECODE, "timestamp", "timecode", lambda m: m, "timestamp.timecode", "medium", 11),
-        _each(c, RANGE, "timestamp", "range", lambda m: m, "timestamp.range", "medium", 12),
+        needing([":"], _each(c, TIMECODE, "timestamp", "timecode", lambda m: m, "timestamp.timecode", "medium", 11)),
+        needing(["-", "–", "—", "to"], _each(c, RANGE, "timestamp", "range", lambda m: m, "timestamp.range", "medium", 12)),
         _each(c, POINT, "timestamp", "point", lambda m: m, "timestamp.point", "medium", 13),
-        _each(c, SINGLE, "take_declaration", "single", lambda _: F.lit("single"), "take.single", "high", 13),
-        _each(c, MULTI, "take_declaration", "multi", lambda _: F.lit("multi"), "take.multi", "high", 13),
-        _dialogue(c),
+        needing(["single", "one continuous", "no cut"], _each(c, SINGLE, "take_declaration", "single", lambda _: F.lit("single"), "take.single", "high", 13)),
+        needing(["multi", "montage", "shots", "shot", "cut"], _each(c, MULTI, "take_declaration", "multi", lambda _: F.lit("multi"), "take.multi", "high", 13)),
+        needing(["<d>", *(q for q in '"“«「')], _dialogue(c)),
         _each(c, LANGUAGE, "language", "explicit", lambda m: F.regexp_extract(m, LANGUAGE_NAME, 1), "language.explicit", "high", 16),
-        *(_each(c, p, "audio", n, lambda m, n=n: _json(signal=m, polarity=F.lit("negative" if n.startswith("negative") else "positive")), "audio.signal", "medium", 17) for n, p in AUDIO.items()),
+        *(needing(needs[n], facts) for n, facts in audio.items()),
     )
-    return every
 
 
 def extract_facts(texts: DataFrame, key: str, text: str) -> DataFrame:
