@@ -221,7 +221,7 @@ def _tokens(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if toks:
                     yield pd.DataFrame({"id": ids, "unit": toks, "source": source, "probe": probe, "whole": whole})
 
-    src = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where(F.col("t").rlike("[^\\x00-\\x7f]"))
+    src = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike("[^\\x00-\\x7f]"))
     return src.mapInPandas(run, f"id {id_type}, unit string, source boolean, probe boolean, whole boolean")
 
 
@@ -271,7 +271,7 @@ def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: in
     """(id, chain, strong, weak): records holding garbled text, with the chain that explains most of their units.
 
     One strong unit suffices; of weak ones `weak_needed` different ones of one chain and of at least two characters are needed. Null, empty and pure
-    ASCII texts are never garbled. Repeated ids are one record. Empty table: nothing.
+    ASCII texts are never garbled, nor are rows without an id. Repeated ids are one record. Empty table: nothing.
     """
     hits = materialize(garbled_units(rows, id_col, text_col), "garbled_units")
     each = hits.select("id", "form", "strong", F.explode("chains").alias("chain"))

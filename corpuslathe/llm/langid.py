@@ -364,7 +364,7 @@ def _first(rows: DataFrame, lang: str, text: str, n: int) -> DataFrame:
 
 def document_stretches(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_words_han: int = MIN_WORDS_HAN) -> DataFrame:
     """(doc_id, stretch, first_word, n_words, lang, confidence): the stretches of each document in one language; lang is null where rejected."""
-    id_type = documents.schema[id_col].dataType.simpleString()
+    id_type = documents.schema[id_col].dataType
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lab = Labeller(model, min_words, min_words_han)
@@ -372,17 +372,19 @@ def document_stretches(documents: DataFrame, model: Model, id_col: str = "doc_id
             rows = [(d, k, *s) for d, ss in zip(b["d"], lab.stretches(b["t"].tolist()), strict=True) for k, s in enumerate(ss)]
             yield pd.DataFrame(rows, columns=["doc_id", "stretch", "first_word", "n_words", "lang", "confidence"])
 
-    src = documents.select(F.col(id_col).alias("d"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInPandas(run, f"doc_id {id_type}, stretch int, first_word bigint, n_words bigint, lang string, confidence double")
+    src = documents.select(F.col(id_col).cast("string").alias("d"), F.col(text_col).cast("string").alias("t"))
+    out = src.mapInPandas(run, "doc_id string, stretch int, first_word bigint, n_words bigint, lang string, confidence double")
+    return out.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
 def document_languages(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", min_words: int = MIN_WORDS, min_words_han: int = MIN_WORDS_HAN) -> DataFrame:
     """One row per document and language it holds: doc_id, lang, confidence, main, labelled (its label names this language).
 
     A document holds its main language and any other with a stretch of at least min_words words (min_words_han characters for zh, ja).
-    Null, empty and letterless texts hold none and have no row. Repeated ids are separate documents. Texts are used whole.
+    Null, empty and letterless texts hold none and have no row. Repeated and null ids are separate documents. Texts are used whole.
+    Of languages with equally many words the later in the alphabet is the main one.
     """
-    id_type = documents.schema[id_col].dataType.simpleString()
+    id_type = documents.schema[id_col].dataType
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lab = Labeller(model, min_words, min_words_han)
@@ -394,5 +396,6 @@ def document_languages(documents: DataFrame, model: Model, id_col: str = "doc_id
                 rows += [(d, x, c, k == 0, x == named) for k, (x, c) in enumerate(held.items())]
             yield pd.DataFrame(rows, columns=["doc_id", "lang", "confidence", "main", "labelled"])
 
-    src = documents.select(F.col(id_col).alias("d"), F.col(label_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInPandas(run, f"doc_id {id_type}, lang string, confidence double, main boolean, labelled boolean")
+    src = documents.select(F.col(id_col).cast("string").alias("d"), F.col(label_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t"))
+    out = src.mapInPandas(run, "doc_id string, lang string, confidence double, main boolean, labelled boolean")
+    return out.withColumn("doc_id", F.col("doc_id").cast(id_type))

@@ -37,8 +37,9 @@ def token_counts(documents: DataFrame, id_col: str, text_col: str, vocabulary: s
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "n_tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in b["t"]]})
 
-    id_type = documents.schema[id_col].dataType.simpleString()
-    return documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, f"id {id_type}, n_tokens bigint")
+    # ids travel as strings: a null among numbers would make pandas read them as floats
+    src = documents.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("t"))
+    return src.mapInPandas(run, "id string, n_tokens bigint").withColumn("id", F.col("id").cast(documents.schema[id_col].dataType))
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[pd.DataFrame, int]:
@@ -144,8 +145,9 @@ def pack(sizes: DataFrame, id_col: str = "id", size_col: str = "n_tokens", capac
                 pos = col["offset"][i] + (j % col["per_bin"][i]) * size
             yield pd.DataFrame({"id": b["id"], "piece": b["piece"], "piece_start": b["piece_start"], "n_tokens": b["n_tokens"], "sequence": pd.Series(seq, dtype="Int64").where(some), "position": pd.Series(pos, dtype="Int64").where(some)})
 
-    id_type = items.schema["id"].dataType.simpleString()
-    return ranged.mapInPandas(assign, f"id {id_type}, piece int, piece_start bigint, n_tokens int, sequence bigint, position bigint")
+    id_type = items.schema["id"].dataType
+    out = ranged.withColumn("id", F.col("id").cast("string")).mapInPandas(assign, "id string, piece int, piece_start bigint, n_tokens int, sequence bigint, position bigint")
+    return out.withColumn("id", F.col("id").cast(id_type))
 
 
 def packing_report(packed: DataFrame, capacity: int = 2_048) -> DataFrame:
