@@ -16,7 +16,7 @@ def manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 def json_objects(spark: SparkSession, path: str) -> DataFrame:
     """(path, doc, fault): whole files as variants; what is no JSON object has a fault and no doc."""
-    raw = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("doc"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("doc"))
     ok = F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False))
     return raw.select("path", F.when(ok, F.col("doc")).alias("doc"), F.when(F.col("doc").isNull(), "not_json").when(~ok, "not_object").alias("fault"))
 
@@ -32,13 +32,13 @@ def events(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, number, line) of text files, numbers from 1; a file is one row until it is split, so files should be of moderate size."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n", -1)).alias("n", "line")).select("path", (F.col("n") + 1).alias("number"), "line")
 
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
     """(path, front_matter, headings, links, sections) of marked-up files; front matter as a map of its `key: value` lines."""
-    raw = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("t"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("t"))
     front = F.regexp_extract("t", r"(?s)^---\r?\n(.*?)\r?\n---", 1)
     keys = F.regexp_extract_all(front, F.lit(r"(?m)^([A-Za-z_][\w-]*):[ \t]*(.*)$"), F.lit(1))
     vals = F.regexp_extract_all(front, F.lit(r"(?m)^([A-Za-z_][\w-]*):[ \t]*(.*)$"), F.lit(2))

@@ -16,7 +16,7 @@ def read_pages(spark: SparkSession, path: str, stream: bool = False, max_files:
     r = spark.readStream if stream else spark.read
     if stream and max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    raw = r.option("wholetext", "true").text(path).withColumnRenamed("value", "raw")
+    raw = r.text(path, wholetext=True).withColumnRenamed("value", "raw")
     p = F.col("_metadata.file_path")
     return raw.select(F.regexp_extract(p, r"page-(\d+)\.json$", 1).try_cast("bigint").alias("page_number"), p.alias("path"), "raw")
 
