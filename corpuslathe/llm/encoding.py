@@ -280,21 +280,30 @@ def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: in
     return ok.groupBy("id").agg(F.max_by("chain", F.struct(F.col("strong") + F.col("weak"), "chain")).alias("chain"), F.max("strong").alias("strong"), F.max("weak").alias("weak"))
 
 
-def restore(text: str, chains: list[str], originals: dict[str, str]) -> tuple[str, bool]:
+def restore(text: str, chains: dict[str, list[str]], originals: dict[str, str]) -> tuple[str, bool]:
     """(text as it was written, whether all of it could be restored).
 
-    Each chain, the likeliest first, is undone on every stretch of the text where that works and gives back the stretch when applied again;
-    what is left is replaced form by form where the form has just one original in the table.
+    Each chain, the likeliest first, is undone on every stretch of the text that holds one of its forms, where that works and gives back the
+    stretch when applied again; what is left is replaced form by form with the original in the table.
     """
-    for name in chains:
-        chain = tuple(name.split(">"))
-        text = _stretch(chain).sub(lambda m, c=chain: _undo(m[0], c), text)
-    left = {f: o for f, o in originals.items() if f != "�" and len(f) > 2 and f in text}
+    for name, forms_ in chains.items():
+        chain, known = tuple(name.split(">")), set(forms_)
+
+        def whole(m: re.Match, chain: tuple[str, ...] = chain, known: set[str] = known) -> str:
+            own = [t for t in _SPLIT.split(m[0]) if not t.isascii()]
+            return _undo(m[0], chain) if sum(t in known for t in own) > 0.6 * len(own) else m[0]
+
+        text = _LINE.sub(whole, text)  # a line most of whose words are such forms went this way as a whole
+        text = _stretch(chain).sub(lambda m, c=chain, fs=forms_: _undo(m[0], c) if any(f in m[0] for f in fs) else m[0], text)
+    left = {f: o for f, o in originals.items() if f.strip("�") and len(f) > 2 and f in text}
     for f in sorted(left, key=len, reverse=True):
         text = text.replace(f, left[f])
     return text, "�" not in text and not any(unicodedata.category(c) == "Cc" and c > "\x7f" for c in text)
 
 
+_LINE = re.compile(r"[^\x00-\x1f]*[^\x00-\x7f][^\x00-\x1f]*")
+
+
 @lru_cache(maxsize=256)
 def _stretch(chain: tuple[str, ...]) -> re.Pattern:
     return re.compile(r"[^\x00-\x1f]*[^\x00-\x7f][^\x00-\x1f]*") if chain[-1] not in _ONE_BYTE or chain[0] in _WIDE else re.compile(r"[^\x00-\x7f]+")
@@ -302,6 +311,8 @@ def _stretch(chain: tuple[str, ...]) -> re.Pattern:
 
 def _undo(s: str, chain: tuple[str, ...]) -> str:
     got = s
+    if "�" in s:
+        return s
     for i in range(len(chain) - 1, 0, -2):
         try:
             got = _write(got, chain[i]).decode(chain[i - 1])
@@ -324,11 +335,13 @@ def restored_records(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
             out = []
             for i, t, h in zip(b["id"], b["t"], b["h"], strict=True):
                 votes: dict[str, int] = {}
+                per: dict[str, list[str]] = {}
                 for x in h:
                     for c in x["chains"]:
                         votes[c] = votes.get(c, 0) + len(x["form"]) * (2 if x["strong"] else 1)
-                order = sorted(votes, key=lambda c: (-votes[c], -len(c), c))
-                out.append((i, *restore(t, order[:4], {x["form"]: x["original"] for x in h})))
+                        per.setdefault(c, []).append(x["form"])
+                order = sorted(votes, key=lambda c: (-votes[c] * (1.5 if c.count(">") > 1 else 1), c))  # what was misread twice also has forms of once
+                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h})))
             yield pd.DataFrame(out, columns=["id", "restored_text", "complete"])
 
     return src.join(bad, "id").join(per, "id").mapInPandas(run, f"id {id_type}, restored_text string, complete boolean")

@@ -278,21 +278,21 @@ class Labeller:
         ends = np.append(first[1:], len(starts))
         out = []
         for a, b in zip(first.tolist(), ends.tolist(), strict=True):
-            out.append(self._join(best[a:b], conf[a:b], sure[a:b], words[a:b], sums[a:b], n[a:b]))
+            out.append(self._join(best[a:b], conf[a:b], sure[a:b], words[a:b], sums[a:b], chars[a:b]))
         return out
 
-    def _join(self, best, conf, sure, words, sums, n) -> list[tuple[int, int, str | None, float]]:
+    def _join(self, best, conf, sure, words, sums, chars) -> list[tuple[int, int, str | None, float]]:
         langs = self.m.languages
         if not sure.any():
-            total = int(words.sum())
-            if not total:
+            total, n = int(words.sum()), int(chars.sum())
+            if not n:  # no letters
                 return []
-            ce = -sums.sum(0) / n.sum()
+            ce = -sums.sum(0) / n
             k = int(ce.argmin())
             if self.m.reject is not None and ce[k] > self.m.reject[k]:
                 return [(0, total, None, 0.0)]
             gap = float(np.partition(ce, 1)[1] - ce[k]) if len(langs) > 1 else 9.0
-            return [(0, total, langs[k], float(_sigmoid(self.m.sharpness * gap * np.sqrt(n.sum()))))]
+            return [(0, total, langs[k], float(_sigmoid(self.m.sharpness * gap * np.sqrt(n))))]
         kinds = np.unique(best[sure])
         if len(kinds) == 1:
             w = np.maximum(words[sure], 1)

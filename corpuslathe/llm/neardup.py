@@ -54,7 +54,7 @@ def similar_classes(reps: DataFrame, threshold: float) -> DataFrame:
     own = F.col("size") - F.size("g")
     heads = shared.withColumn("own", own).withColumn("take", (head - F.col("own")).cast("int")).where("take > 0")
     heads = heads.select("doc", "size", "own", F.posexplode(F.slice("g", F.lit(1), F.col("take"))).alias("at", "c")).select("doc", "size", (F.col("own") + F.col("at")).alias("pos"), "c.gram")
-    band = F.floor(F.ln("size") / -F.ln(t)).cast("int")
+    band = F.floor(F.ln("size") / -F.ln(t)).cast("int") if threshold < 1 else F.col("size")
     heads = materialize(heads.withColumn("band", band), "heads")
     x = heads.select(F.col("doc").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"), "gram", "band")
     y = heads.select(F.col("doc").alias("y"), F.col("size").alias("ys"), F.col("pos").alias("yp"), "gram", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
