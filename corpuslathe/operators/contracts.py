@@ -205,3 +205,36 @@ def validate(value: Any, schema: dict[str, Any], root: dict[str, Any], path: str
                 yield "additionalProperties", f"{path}.{name}", "not allowed"
             elif isinstance(more, dict):
                 yield from validate(x, more, root, f"{path}.{name}")
+
+
+def signal_coverage(tasks: DataFrame, target: str, signals: str, required: list[str]) -> DataFrame:
+    """(target, missing): targets whose tasks together lack a required signal."""
+    per = tasks.select(target, F.explode_outer(signals).alias("s")).groupBy(target).agg(F.collect_set("s").alias("have"))
+    return per.select(target, F.array_except(F.array(*(F.lit(r) for r in sorted(required))), "have").alias("missing")).where(F.size("missing") > 0)
+
+
+def issue_register(rows: DataFrame, status: str, codes: str) -> DataFrame:
+    """(status, code, rows) of issue codes by status; rows without a code under <none>."""
+    code = F.explode(F.when(F.size(codes) > 0, F.col(codes)).otherwise(F.array(F.lit("<none>"))))
+    return rows.select(F.col(status).alias("status"), code.alias("code")).groupBy("status", "code").agg(F.count("*").alias("rows"))
+
+
+def digest_chain(stages: DataFrame) -> DataFrame:
+    """(stage, fault) of manifests (stage, ordinal, status, input_digest, output_digest): a stage that took other input than the one before gave, or took input that hadn't passed."""
+    before = stages.select((F.col("ordinal") + 1).alias("ordinal"), F.col("output_digest").alias("given"), F.col("status").alias("state"))
+    j = stages.join(before, "ordinal", "left").where("state is not null")
+    fault = F.when(F.col("state") != "passed", "input_not_passed").when(~F.col("input_digest").eqNullSafe(F.col("given")), "input_digest")
+    return j.select("stage", fault.alias("fault")).where("fault is not null")
+
+
+def changed_settings(stored: DataFrame, now: DataFrame) -> DataFrame:
+    """(name, stored, now) of settings (name, value) that differ from those a run was begun with."""
+    j = stored.select("name", F.col("value").alias("stored")).join(now.select("name", F.col("value").alias("now")), "name", "full_outer")
+    return j.where(~F.col("stored").eqNullSafe(F.col("now")))
+
+
+def children_faults(rows: DataFrame) -> DataFrame:
+    """(page_number, folder_id, code) of listed children (page_number, item_index, asked_parent, folder_id, parent_id): another parent than asked for, or twice in a page."""
+    r = rows.withColumn("n", F.row_number().over(Window.partitionBy("page_number", "folder_id").orderBy("item_index")))
+    codes = F.array_compact(F.array(F.when(~F.col("parent_id").eqNullSafe(F.col("asked_parent")), F.lit("parent_mismatch")), F.when(F.col("n") > 1, F.lit("duplicate_folder_in_page"))))
+    return r.select("page_number", "folder_id", F.explode(codes).alias("code"))
