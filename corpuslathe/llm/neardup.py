@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 
 from corpuslathe.llm.formatdup import pairs_within
 from corpuslathe.llm.words import Shingler
-from corpuslathe.runtime import materialize
+from corpuslathe.runtime import count_up_to, materialize
+
+#: Documents of one sequence and size band that meet in one task.
+BLOCK = 2_000
+BROADCAST_CELLS = 50_000
 
 
 def sequence_sets(rows: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -43,7 +47,7 @@ def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, materialize(reps, "representatives")
 
 
-def similar_classes(reps: DataFrame, threshold: float) -> DataFrame:
+def similar_classes(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """(x, y, overlap, similarity) of pairs of representatives (doc, size, grams) with Jaccard similarity >= threshold; x <> y, each pair once."""
     t = F.lit(float(threshold))
     cells = reps.select("doc", "size", F.explode("grams").alias("gram"))
@@ -56,12 +60,18 @@ def similar_classes(reps: DataFrame, threshold: float) -> DataFrame:
     heads = heads.select("doc", "size", "own", F.posexplode(F.slice("g", F.lit(1), F.col("take"))).alias("at", "c")).select("doc", "size", (F.col("own") + F.col("at")).alias("pos"), "c.gram")
     band = F.floor(F.ln("size") / -F.ln(t)).cast("int") if threshold < 1 else F.col("size")
     heads = materialize(heads.withColumn("band", band), "heads")
-    x = heads.select(F.col("doc").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"), "gram", "band")
+    # a cell (sequence, band) with very many documents is split: one side by document, the other repeated for each part
+    crowded = heads.groupBy("gram", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")).where("parts > 1")
+    crowded = materialize(crowded, "crowded")  # at most heads / block rows
+    wide = F.broadcast(crowded) if count_up_to(crowded, BROADCAST_CELLS) <= BROADCAST_CELLS else crowded
+    split = lambda df: df.join(wide, ["gram", "band"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    x = split(heads.select(F.col("doc").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"), "gram", "band")).withColumn("part", F.pmod(F.xxhash64("x"), "parts").cast("int")).drop("parts")
     y = heads.select(F.col("doc").alias("y"), F.col("size").alias("ys"), F.col("pos").alias("yp"), "gram", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    y = split(y).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     need = F.ceil(t / (1 + t) * (F.col("xs") + F.col("ys")) - 1e-9)
     smaller = (F.col("ys") < F.col("xs")) | ((F.col("ys") == F.col("xs")) & (F.col("y") < F.col("x")))
     fits = (F.col("ys") >= t * F.col("xs") - 1e-9) & (1 + F.least(F.col("xs") - F.col("xp"), F.col("ys") - F.col("yp")) - 1 >= need)
-    part = x.join(y, ["gram", "band"]).where(smaller & fits).groupBy("x", "y", "xs", "ys").agg(F.count("*").alias("so_far"), F.max("xp").alias("xp"), F.max("yp").alias("yp"))
+    part = x.join(y, ["gram", "band", "part"]).where(smaller & fits).groupBy("x", "y", "xs", "ys").agg(F.count("*").alias("so_far"), F.max("xp").alias("xp"), F.max("yp").alias("yp"))
     left = part.where(F.col("so_far") + F.least(F.col("xs") - F.col("xp") - 1, F.col("ys") - F.col("yp") - 1) >= need).select("x", "y", "xs", "ys")
     left = materialize(left, "candidates")
     a = reps.select(F.col("doc").alias("x"), F.col("grams").alias("xg"))

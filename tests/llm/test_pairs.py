@@ -82,8 +82,12 @@ def test_near_duplicates(spark, seed, width, threshold):
             w = [r.choice(vocab) for _ in range(r.randrange(1, 60))]
         rows.append((f"d{i:03d}", " ".join(w)))
     rows += [("n1", None), ("n2", ""), (None, "w1 w2 w3 w4 w5"), ("d000", rows[1][1]), *(("s%02d" % i, "same words in all of these " * 3) for i in range(15)), ("long", " ".join(vocab) * 500)]
-    got = {tuple(x) for x in neardup.near_duplicate_pairs(table(spark, rows), "id", "text", width, threshold).collect()}
-    assert got == similar(rows, width, threshold)
+    want = similar(rows, width, threshold)
+    assert {tuple(x) for x in neardup.near_duplicate_pairs(table(spark, rows), "id", "text", width, threshold).collect()} == want
+    sets = neardup.sequence_sets(table(spark, rows), "id", "text", width)
+    _, reps = neardup.classes(sets)
+    run = lambda block: {(r["x"], r["y"]) for r in neardup.similar_classes(reps, threshold, block).collect()}
+    assert run(3) == run(10**6)
 
 
 def test_near_duplicate_groups(spark):
