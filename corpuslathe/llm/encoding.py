@@ -75,6 +75,16 @@ def garble(text: str, chain: tuple[str, ...], undefined: str = "keep", skip: int
     return text
 
 
+def _strictly(text: str, chain: tuple[str, ...], skip: int) -> str | None:
+    """As garble, where every byte means something in each encoding; None otherwise."""
+    try:
+        for i in range(0, len(chain), 2):
+            text = text.encode(chain[i])[skip if i == 0 else 0 :].decode(chain[i + 1])
+    except UnicodeError:
+        return None
+    return text
+
+
 def _write(text: str, enc: str) -> bytes:
     """Bytes of the text, with undefined bytes that were kept as control characters written back as such."""
     try:
@@ -173,12 +183,19 @@ def forms(unit: str) -> Iterator[tuple[str, str, bool]]:
     wide = len(unit) == 2 and all(_WIDE_RUN.fullmatch(c) for c in unit)
     seen = {unit, unit.lower(), ""}
     for chain in CHAINS:
-        name = ">".join(chain)
+        name, strict, failed = ">".join(chain), set(), set()
         for undefined in UNDEFINED:
             for skip in (0, 1) if wide and chain[0] in ("utf-8",) and chain[1] in (*_WIDE, "gb18030") else (0,):
-                g = garble(unit, chain, undefined, skip)
+                if undefined != "keep" and (skip in strict or skip in failed):  # no byte is undefined, or it can't be written
+                    continue
+                g = _strictly(unit, chain, skip)
+                if g is not None:
+                    strict.add(skip)
+                else:
+                    g = garble(unit, chain, undefined, skip)
                 if g is None:
-                    break
+                    failed.add(skip)
+                    continue
                 if wide and chain[-1] not in _ONE_BYTE:
                     g = g.strip("�") if undefined == "replace" else g
                     if len(g) < 2:
@@ -239,23 +256,27 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             for at in range(0, len(b), 2_000):
                 part = b.iloc[at : at + 2_000]
-                out = []
-                for u, n, alone in zip(part["unit"], part["df"], part["whole"], strict=True):
-                    odd = oddness(u)
-                    for f, chain, all_bytes in forms(u):
-                        grown = f == "�" or all_bytes and _grown(u, f, chain)
-                        # a letter before a quotation mark or dash is common, unless the two stand where a sign alone stands elsewhere
-                        clear = f == "�" or any(not _plain(c) and c not in _TYPOGRAPHIC for c in f)
-                        if grown and not clear and not alone:
-                            grown = False
-                        out.append((f, u, chain, n, grown or oddness(f) > odd, grown, clear))
+                out = [(f, u, chain, n, alone, all_bytes) for u, n, alone in zip(part["unit"], part["df"], part["whole"], strict=True) for f, chain, all_bytes in forms(u)]
                 if out:
-                    yield pd.DataFrame(out, columns=["form", "original", "chain", "original_df", "strong", "grown", "clear"])
+                    yield pd.DataFrame(out, columns=["form", "original", "chain", "original_df", "alone", "all_bytes"])
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for f, u, chain, alone, all_bytes in zip(b["form"], b["original"], b["chain"], b["alone"], b["all_bytes"], strict=True):
+                grown = f == "�" or all_bytes and _grown(u, f, chain)
+                # a letter before a quotation mark or dash is common, unless the two stand where a sign alone stands elsewhere
+                clear = f == "�" or any(not _plain(c) and c not in _TYPOGRAPHIC for c in f)
+                if grown and not clear and not alone:
+                    grown = False
+                out.append((grown or oddness(f) > oddness(u), grown, clear))
+            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(out, columns=["strong", "grown", "clear"])], axis=1)
 
     parts = max(spark_parallelism(rows), -(-freq.where("source").count() // 10_000))
-    made = freq.where("source").select("unit", "df", "whole").repartition(parts, F.xxhash64("unit")).mapInPandas(table, "form string, original string, chain string, original_df bigint, strong boolean, grown boolean, clear boolean")
+    made = freq.where("source").select("unit", "df", "whole").repartition(parts, F.xxhash64("unit")).mapInPandas(table, "form string, original string, chain string, original_df bigint, alone boolean, all_bytes boolean")
     there = freq.where("probe").select(F.col("unit").alias("form"), F.col("df").alias("form_df"))
-    hit = made.join(there, "form")
+    hit = made.join(there, "form").select("form", "original", "chain", "original_df", "alone", "all_bytes", "form_df")
+    hit = hit.mapInPandas(judge, hit.schema.simpleString()[7:-1].replace(":", " ") + ", strong boolean, grown boolean, clear boolean")
     # the most frequent original explains a form; a form at least as frequent is a word of its own
     best = hit.groupBy("form").agg(F.max(F.struct("grown", "strong", "original_df", "original", "chain", "clear")).alias("b"), F.first("form_df").alias("form_df"), F.collect_set("chain").alias("chains"))
     fold = freq.groupBy(F.lower("unit").alias("folded")).agg(F.sum("df").alias("fold_df"))
