@@ -254,8 +254,8 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def table(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 2_000):
-                part = b.iloc[at : at + 2_000]
+            for at in range(0, len(b), 400):
+                part = b.iloc[at : at + 400]
                 out = [(f, u, chain, n, alone, all_bytes) for u, n, alone in zip(part["unit"], part["df"], part["whole"], strict=True) for f, chain, all_bytes in forms(u)]
                 if out:
                     yield pd.DataFrame(out, columns=["form", "original", "chain", "original_df", "alone", "all_bytes"])
