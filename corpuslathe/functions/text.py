@@ -61,7 +61,7 @@ def clip(c: Column | str, limit: int = 520) -> Column:
 
 #: Reference labels and adapter tokens that are no part of neutral text.
 _SYNTAX = r"(?i)<<<[^<>\r\n]{1,150}>>>|<(?:Picture|Subject|Video|Audio)\s+\d+>|(?<![\w@])@[A-Za-z][A-Za-z0-9_.-]*\b"
-_TOKENS = r"(?i)\b(?:t2va|i2va|fl2va|l2va|ref2va|r2v|i2v|t2v|seedance|h3)\b"
+_TOKENS = r"(?i)\b(?:seedance|h3|t2va|i2va|fl2va|l2va|ref2va|r2v|i2v|t2v)\b"
 
 
 def clean_syntax(c: Column | str) -> Column:
