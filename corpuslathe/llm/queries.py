@@ -24,7 +24,7 @@ def p1_restored(spark: SparkSession, d: str) -> DataFrame:
     return encoding.restored_records(table(spark, d, "prompts"), "prompt_sha256", "prompt_text").withColumnRenamed("id", "prompt_sha256")
 
 
-@REG.query()
+@REG.query(sql.P2_FOUND)
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = neardup.near_duplicate_pairs(table(spark, d, "prompts"), "prompt_sha256", "prompt_text", width=3, threshold=0.6)
     return pairs.select(F.col("a").alias("prompt_sha256_a"), F.col("b").alias("prompt_sha256_b"))

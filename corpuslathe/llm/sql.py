@@ -17,11 +17,19 @@ WHERE coalesce(n.n, 0) < greatest(CAST(t.min_rows AS DOUBLE), t.target_share * a
 """
 
 #: Han and kana characters get blanks around them first: each is a word.
-_WORDS = f"regexp_extract_all(regexp_replace(lower(text), '([{HAN_KANA}])', ' \\1 ', 'g'), '[\\p{{L}}\\p{{N}}]+')"
+_WORDS = f"regexp_extract_all(regexp_replace(lower({{c}}), '([{HAN_KANA}])', ' \\1 ', 'g'), '[\\p{{{{L}}}}\\p{{{{N}}}}]+')"
+
+P2_FOUND = f"""
+WITH w AS (SELECT prompt_sha256 AS id, {_WORDS.format(c="prompt_text")} AS w FROM prompts),
+g AS (SELECT DISTINCT id, array_to_string(w[k:k + 2], ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS k FROM w WHERE len(w) >= 3)),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+o AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2)
+SELECT a AS prompt_sha256_a, b AS prompt_sha256_b FROM o JOIN n x ON o.a = x.id JOIN n y ON o.b = y.id WHERE 10 * c >= 6 * (x.n + y.n - c)
+"""
 
 P8_FOUND = f"""
-WITH i AS (SELECT item_id, {_WORDS} AS w FROM eval_items),
-d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+WITH i AS (SELECT item_id, {_WORDS.format(c="text")} AS w FROM eval_items),
+d AS (SELECT doc_id, {_WORDS.format(c="text")} AS w FROM documents),
 ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 14], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 13)) AS k FROM i WHERE len(w) >= 15)),
 dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 14], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 13)) AS k FROM d WHERE len(w) >= 15))
 SELECT DISTINCT item_id, doc_id FROM ig JOIN dg USING (g)

@@ -49,6 +49,11 @@ def test_sample_edges(spark):
     assert len(ids) == 25 and rep == {}
 
 
+def test_goals_beyond_the_size(spark):
+    ids, rep = run(spark, 60, [("queue", "a", 0.5, 20), ("queue", "b", 0.5, 15), ("tag", "x", 0.9, 30), ("tag", "z", 0.1, 20)])
+    assert len(ids) == 12 and rep[("queue", "a")]["short"] and not rep[("queue", "a")]["unmet"]
+
+
 def test_many_combinations(spark, monkeypatch):
     monkeypatch.setattr(S, "LOCAL_CELLS", 3)
     ids, rep = run(spark, 400, GOALS)
