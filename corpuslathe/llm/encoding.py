@@ -104,7 +104,7 @@ def oddness(s: str) -> int:
             kind = "a" if c.isalpha() else ""
         else:
             cat = unicodedata.category(c)
-            if cat in ("Cc", "Cn", "Co", "Cf", "Cs") or c in "�\xa0":
+            if cat in ("Cc", "Cn", "Co", "Cf", "Cs") or c == "�":
                 odd, kind = odd + 2, ""
             elif cat[0] == "L":
                 kind = _script(c)
@@ -182,7 +182,10 @@ def forms(unit: str) -> Iterator[tuple[str, str, bool]]:
     """(garbled form, chain, whether no byte was lost) of a unit under all chains; forms that are the unit itself or lost what makes them one are left out."""
     wide = len(unit) == 2 and all(_WIDE_RUN.fullmatch(c) for c in unit)
     seen = {unit, unit.lower(), ""}
+    lone = len(unit) == 1 and _WIDE_RUN.fullmatch(unit) is not None
     for chain in CHAINS:
+        if lone and chain[0] in _WIDE:  # two bytes are too little to tell from other text
+            continue
         name, strict, failed = ">".join(chain), set(), set()
         for undefined in UNDEFINED:
             for skip in (0, 1) if wide and chain[0] in ("utf-8",) and chain[1] in (*_WIDE, "gb18030") else (0,):

@@ -18,7 +18,7 @@ GARBLED = {
     "dos": CLEAN[3].encode().decode("cp437"), "koi": CLEAN[5].encode("koi8-r").decode("cp1251"), "cyr": CLEAN[6].encode("cp1251").decode("latin-1"), "utf-cyr": CLEAN[6].encode().decode("cp1251", "replace"), "gbk": CLEAN[7].encode().decode("gbk", "replace"), "gb-latin": CLEAN[8].encode("gbk").decode("latin-1"),
     "sjis": CLEAN[9].encode("cp932").decode("latin-1"), "lost": CLEAN[3].encode("latin-1").decode("utf-8", "replace"), "part": "Keep it. " + "a 2 × 3 m mural".encode().decode("cp1252") + " stays",
 }
-SOUND = {"caps": "ELE NÃO É", "nbsp": "\xa0plain text", "quote": "Amanhã” e “lã”", "price": "a €4 stub at 5 °C", "ru": "НЕ ОН", "none": None, "empty": "", "ascii": "plain", "zh": "暮色里，烛火摇曳", "odd": "naïve Ångström Øre"}
+SOUND = {"caps": "ELE NÃO É", "nbsp": "\xa0plain text", "nbsp-ru": "\xa0Кадр слегка дрожит", "nbsp-q": "\xa0“last call”", "quote": "Amanhã” e “lã”", "price": "a €4 stub at 5 °C", "ru": "НЕ ОН", "none": None, "empty": "", "ascii": "plain", "zh": "暮色里，烛火摇曳", "odd": "naïve Ångström Øre"}
 
 
 def test_found(spark):
