@@ -99,7 +99,7 @@ def oddness(s: str) -> int:
     """How unlike written text a unit is: control, private and unassigned characters, stray signs, scripts and cases mixed within it."""
     odd, last_script, upper_after_lower, accents = 0, "", 0, 0
     previous = ""
-    for c in s:
+    for i, c in enumerate(s):
         if c < "\x80":
             kind = "a" if c.isalpha() else ""
         else:
@@ -117,6 +117,8 @@ def oddness(s: str) -> int:
             else:
                 if cat[0] in "SN" and kind_of_sign(c):
                     odd += 1
+                elif cat[0] == "P" and c not in "’–—" and previous.isalpha() and s[i + 1 : i + 2].isalpha():
+                    odd += 1  # a mark within a word
                 kind = ""
         if kind != "a" or c < "\x80":
             accents = 0
