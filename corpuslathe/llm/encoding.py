@@ -3,7 +3,8 @@
 The corpus is its own dictionary. Every distinct unit that holds a character beyond ASCII (words between ASCII delimiters, pairs
 of neighbouring Han or kana characters, single characters) is put through all encoding chains: written as bytes of one encoding,
 read as another, some of them twice. That gives a table of garbled forms. Documents' own units are hash-joined with it.
-A form that the corpus holds at least as often as the word it comes from is a word itself, not a garbled one.
+A form that the corpus holds at least as often as the word it comes from is a word itself, not a garbled one, unless undoing
+the chain on the whole record shows otherwise. Texts that differ in nothing but digits, spaces and ASCII signs count once.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ _BEYOND = re.compile(r"[^\x00-\x7f]")
 _NARROW_RUN = re.compile(f"[^\\s{WIDE_CHAR}�\\x00-\\x1f]*[^\\x00-\\x7f{WIDE_CHAR}�][^\\x00-\\x1f{WIDE_CHAR}�]*")
 #: Quotation marks, dashes and dots that stand next to letters in well-written text.
 _TYPOGRAPHIC = frozenset("’‘“”„‚«»‹›–—…•")
+#: The letters that make up some 85 % of Russian text.
+_COMMON_CYRILLIC = frozenset("оеаинтсрвлкмдпуяыОЕАИНТСРВЛКМДПУЯЫ")
+#: The common characters of an encoding, by the first of their two bytes (level 1 of GB 2312, JIS X 0208 and Big5).
+_LEVEL_1 = (("gb2312", 0xB0, 0xD7), ("euc-jp", 0xB0, 0xCF), ("big5", 0xA4, 0xC6))
 
 
 def _read(data: bytes, enc: str, undefined: str) -> str:
@@ -146,6 +151,56 @@ def _script(c: str) -> str:
     return name.split(" ", 1)[0]
 
 
+@lru_cache(maxsize=65536)
+def _levels(c: str) -> tuple[bool, ...]:
+    """Whether a Han character, kana or Hangul syllable is a common one of simplified Chinese, Japanese, traditional Chinese, Korean."""
+    if "ぁ" <= c <= "ヿ":
+        return False, True, False, False
+    if "가" <= c <= "힣":
+        return False, False, False, _strictly(c, ("euc-kr", "euc-kr"), 0) is not None
+    found = []
+    for enc, low, high in _LEVEL_1:
+        try:
+            data = c.encode(enc)
+            found.append(len(data) == 2 and low <= data[0] <= high)
+        except UnicodeEncodeError:
+            found.append(False)
+    return (*found, False)
+
+
+def unlikely(text: str) -> float:
+    """How unlike written text a whole text is: oddness of its words, rare Cyrillic letters, and characters rare in the writing that fits best."""
+    total, hans, fits = 0.0, 0, [0, 0, 0, 0]
+    for t in _SPLIT.split(text):
+        if not t or t.isascii():
+            continue
+        total += oddness(t)
+        for c in t:
+            if "Ѐ" <= c <= "ӿ":
+                total += c not in _COMMON_CYRILLIC
+            elif "ぁ" <= c <= "ヿ" or "㐀" <= c <= "鿿" or "가" <= c <= "힣" or "豈" <= c <= "﫿":
+                hans += 1
+                fits = [n + x for n, x in zip(fits, _levels(c), strict=True)]
+    return total + hans - max(fits)
+
+
+def undone(text: str, chain: str, forms_: list[str], strong: bool) -> bool | None:
+    """Whether undoing the chain explains the record: True if most of what is beyond ASCII goes and the rest reads clearly better, False if it reads worse, else None.
+
+    Of fewer than three forms all must be `strong`, and what they become be plain letters.
+    """
+    got, _ = restore(text, {chain: forms_}, {}, odder=True)
+    if got == text:
+        return None
+    better = unlikely(text) - unlikely(got)
+    if better < 0:
+        return False
+    own, new = units(text)[2], units(got)[2]
+    if len(forms_) < 3:
+        return True if strong and better > 0 and not own & new and all(_plain(c) or c in _TYPOGRAPHIC for c in got) else None
+    return True if len(own & new) <= 0.4 * len(own) and better >= max(2, 0.1 * len(_BEYOND.findall(got))) else None
+
+
 def _plain(c: str) -> bool:
     """A letter as writers of Latin, Greek or Russian text use them, or ASCII."""
     return c < "\x80" or "À" <= c <= "ſ" and c not in "×÷" or "А" <= c <= "я" or c in "ёЁ" or "Α" <= c <= "ω"
@@ -222,6 +277,10 @@ def spark_parallelism(df: DataFrame) -> int:
     return 2 * df.sparkSession.sparkContext.defaultParallelism
 
 
+def _texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike("[^\\x00-\\x7f]"))
+
+
 def _tokens(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     id_type = rows.schema[id_col].dataType.simpleString()
 
@@ -229,33 +288,36 @@ def _tokens(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             for at in range(0, len(b), 500):
                 part = b.iloc[at : at + 500]
-                ids, toks, source, probe, whole = [], [], [], [], []
-                for i, t in zip(part["id"], part["t"], strict=True):
+                ids, content, toks, source, probe, whole = [], [], [], [], [], []
+                for i, t, k in zip(part["id"], part["t"], part["content"], strict=True):
                     if not t:
                         continue
                     s, p, w = units(t)
                     for u in s | p:
                         ids.append(i)
+                        content.append(k)
                         toks.append(u)
                         source.append(u in s)
                         probe.append(u in p)
                         whole.append(u in w)
                 if toks:
-                    yield pd.DataFrame({"id": ids, "unit": toks, "source": source, "probe": probe, "whole": whole})
+                    yield pd.DataFrame({"id": ids, "content": content, "unit": toks, "source": source, "probe": probe, "whole": whole})
 
-    src = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike("[^\\x00-\\x7f]"))
-    return src.mapInPandas(run, f"id {id_type}, unit string, source boolean, probe boolean, whole boolean")
+    content = F.xxhash64(F.regexp_replace(F.lower("t"), "[\\x00-\\x60\\x7b-\\x7f]+", "")).alias("content")
+    return _texts(rows, id_col, text_col).select("id", "t", content).mapInPandas(run, f"id {id_type}, content bigint, unit string, source boolean, probe boolean, whole boolean")
 
 
 def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, form, original, chain, strong): units of a text that are garbled forms of a more frequent unit of the corpus.
 
     strong: the form looks less like written text than its original (control characters, stray signs, mixed scripts or cases), or is
-    several bytes of one character read as Latin letters and signs; others are evidence only together. A form more than four
-    times as frequent as its original is a word of its own, unless it is of the latter kind.
+    several bytes of one character read as Latin letters and signs; others are evidence only together. Frequency counts texts by their letters.
+    A form more than four times as frequent as its original (a weak one: as frequent) is a word of its own, unless it is of the latter kind
+    or undoing a chain explains the record that holds it (`undone`). Weak forms count for no chain that makes a record read worse when undone.
+    original is null where the original in the table is another chain's.
     """
     t = materialize(_tokens(rows, id_col, text_col), "units")
-    freq = materialize(t.groupBy("unit").agg(F.count("*").alias("df"), F.max("source").alias("source"), F.max("probe").alias("probe"), F.max("whole").alias("whole")), "unit_counts")
+    freq = materialize(t.groupBy("unit").agg(F.count_distinct("content").alias("df"), F.max("source").alias("source"), F.max("probe").alias("probe"), F.max("whole").alias("whole")), "unit_counts")
 
     def table(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -286,11 +348,38 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     best = hit.groupBy("form").agg(F.max(F.struct("grown", "strong", "original_df", "original", "chain", "clear")).alias("b"), F.first("form_df").alias("form_df"), F.collect_set("chain").alias("chains"))
     fold = freq.groupBy(F.lower("unit").alias("folded")).agg(F.sum("df").alias("fold_df"))
     best = best.withColumn("folded", F.lower("form")).join(fold, "folded", "left")
-    best = best.where((F.col("b.original_df") > F.col("form_df")) | F.col("b.grown") | (F.col("b.strong") & (4 * F.col("b.original_df") >= F.col("form_df"))))
+    rarer = (F.col("b.original_df") > F.col("form_df")) | F.col("b.grown") | (F.col("b.strong") & (4 * F.col("b.original_df") >= F.col("form_df")))
     # a weak form whose lower case is an established word is that word in capitals
-    best = best.where(F.col("b.strong") | (F.col("fold_df") <= F.col("b.original_df") / 2) | (F.col("fold_df") <= 2))
-    best = materialize(best.select("form", F.col("b.original").alias("original"), F.col("b.chain").alias("chain"), "chains", F.col("b.strong").alias("strong"), (F.col("b.grown") & ~F.col("b.clear")).alias("alone"), "form_df", F.col("b.original_df").alias("original_df")), "garbled_forms")
-    return t.where("probe").select("id", F.col("unit").alias("form"), "whole").join(best, "form").where("whole or not alone").select("id", "form", "original", "chain", "chains", "strong", "form_df", "original_df")
+    rarer = rarer & (F.col("b.strong") | (F.col("fold_df") <= F.col("b.original_df") / 2) | (F.col("fold_df") <= 2))
+    best = materialize(best.select("form", F.col("b.original").alias("original"), F.col("b.chain").alias("chain"), "chains", F.col("b.strong").alias("strong"), (F.col("b.grown") & ~F.col("b.clear")).alias("alone"), (~rarer).alias("common"), "form_df", F.col("b.original_df").alias("original_df")), "garbled_forms")
+    hits = t.where("probe").select("id", F.col("unit").alias("form"), "whole").join(best, "form").where("whole or not alone").select("id", "form", "original", "chain", "chains", "strong", "common", "form_df", "original_df")
+    hits = materialize(hits, "form_hits")
+    kept = hits.join(_explained(hits, rows, id_col, text_col), "id", "left")
+    yes, no = (F.coalesce(c, F.array().cast("array<string>")) for c in ("yes", "no"))
+    chains = F.when(F.col("common"), F.array_intersect("chains", yes)).when(F.col("strong"), F.col("chains")).otherwise(F.array_except("chains", no))
+    original = F.when(F.array_contains("left_", F.col("chain")), F.col("original"))
+    return kept.withColumn("left_", chains).where("size(left_) > 0").select("id", "form", original.alias("original"), "chain", F.col("left_").alias("chains"), "strong", "form_df", "original_df")
+
+
+def _explained(hits: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, yes, no): the chains that explain a record when undone, and those that make it read worse (`undone`), of those where it matters."""
+    each = hits.where("length(form) >= 2").select("id", "form", "strong", "common", F.explode("chains").alias("chain")).distinct()
+    per = each.groupBy("id", "chain").agg(F.collect_set("form").alias("forms"), F.count_if("strong").alias("strong"), F.count_if("common").alias("common"), F.count_if(F.col("strong") & ~F.col("common")).alias("sure"))
+    ask = per.where((F.col("strong") > 0) | (F.size("forms") >= 3)).where("common > 0 or sure = 0")
+    ask = ask.groupBy("id").agg(F.collect_list(F.struct("chain", "forms", (F.col("strong") == F.size("forms")).alias("strong"))).alias("ask"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, t, ask in zip(b["id"], b["t"], b["ask"], strict=True):
+                said = [(a["chain"], undone(t, a["chain"], list(a["forms"]), a["strong"])) for a in ask]
+                out.append((i, [c for c, x in said if x], [c for c, x in said if x is False]))
+            yield pd.DataFrame(out, columns=["id", "yes", "no"])
+
+    src = _texts(rows, id_col, text_col).distinct()
+    id_type = rows.schema[id_col].dataType.simpleString()
+    told = src.join(ask, "id").repartition(spark_parallelism(rows), "id").mapInPandas(run, f"id {id_type}, yes array<string>, no array<string>")
+    return told.groupBy("id").agg(F.flatten(F.collect_list("yes")).alias("yes"), F.flatten(F.collect_list("no")).alias("no"))
 
 
 def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: int = 3) -> DataFrame:
@@ -306,21 +395,21 @@ def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: in
     return ok.groupBy("id").agg(F.max_by("chain", F.struct(F.col("strong") + F.col("weak"), "chain")).alias("chain"), F.max("strong").alias("strong"), F.max("weak").alias("weak"))
 
 
-def restore(text: str, chains: dict[str, list[str]], originals: dict[str, str]) -> tuple[str, bool]:
+def restore(text: str, chains: dict[str, list[str]], originals: dict[str, str], odder: bool = False) -> tuple[str, bool]:
     """(text as it was written, whether all of it could be restored).
 
     Each chain, the likeliest first, is undone on every stretch of the text that holds one of its forms, where that works and gives back the
-    stretch when applied again; what is left is replaced form by form with the original in the table.
+    stretch when applied again; what is left is replaced form by form with the original in the table. odder: also where the result looks less like text.
     """
     for name, forms_ in chains.items():
         chain, known = tuple(name.split(">")), set(forms_)
 
         def whole(m: re.Match, chain: tuple[str, ...] = chain, known: set[str] = known) -> str:
             own = [t for t in _SPLIT.split(m[0]) if not t.isascii()]
-            return _undo(m[0], chain) if sum(t in known for t in own) > 0.6 * len(own) else m[0]
+            return _undo(m[0], chain, odder) if sum(t in known for t in own) > 0.6 * len(own) else m[0]
 
         text = _LINE.sub(whole, text)  # a line most of whose words are such forms went this way as a whole
-        text = _stretch(chain).sub(lambda m, c=chain, fs=forms_: _undo(m[0], c) if any(f in m[0] for f in fs) else m[0], text)
+        text = _stretch(chain).sub(lambda m, c=chain, fs=forms_: _undo(m[0], c, odder) if any(f in m[0] for f in fs) else m[0], text)
     left = {f: o for f, o in originals.items() if f.strip("�") and len(f) > 2 and f in text}
     for f in sorted(left, key=len, reverse=True):
         text = text.replace(f, left[f])
@@ -335,7 +424,7 @@ def _stretch(chain: tuple[str, ...]) -> re.Pattern:
     return re.compile(r"[^\x00-\x1f]*[^\x00-\x7f][^\x00-\x1f]*") if chain[-1] not in _ONE_BYTE or chain[0] in _WIDE else re.compile(r"[^\x00-\x7f]+")
 
 
-def _undo(s: str, chain: tuple[str, ...]) -> str:
+def _undo(s: str, chain: tuple[str, ...], odder: bool = False) -> str:
     got = s
     if "�" in s:
         return s
@@ -345,7 +434,7 @@ def _undo(s: str, chain: tuple[str, ...]) -> str:
         except (UnicodeEncodeError, UnicodeDecodeError):
             return s
     back = garble(got, chain)
-    return got if back == s and oddness(got) <= oddness(s) else s
+    return got if back == s and (odder or oddness(got) <= oddness(s)) else s
 
 
 def restored_records(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -367,7 +456,7 @@ def restored_records(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         votes[c] = votes.get(c, 0) + len(x["form"]) * (2 if x["strong"] else 1)
                         per.setdefault(c, []).append(x["form"])
                 order = sorted(votes, key=lambda c: (-votes[c] * (1.5 if c.count(">") > 1 else 1), c))  # what was misread twice also has forms of once
-                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h})))
+                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h if x["original"] is not None})))
             yield pd.DataFrame(out, columns=["id", "restored_text", "complete"])
 
     return src.join(bad, "id").join(per, "id").mapInPandas(run, f"id {id_type}, restored_text string, complete boolean")

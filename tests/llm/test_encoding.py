@@ -46,3 +46,13 @@ def test_empty(spark):
 def test_long_text(spark):
     long = " ".join([CLEAN[1]] * 4000) + " " + GARBLED["cp1252"]
     assert "long" in {r["id"] for r in E.garbled_records(corpus(spark, [("long", long)]), "id", "text").collect()}
+
+
+@pytest.mark.parametrize(("k", "chain"), [(6, ("utf-8", "cp1251")), (5, ("koi8-r", "cp1251")), (8, ("gbk", "big5")), (4, ("cp1252", "mac-roman"))])
+def test_many_garbled_copies(spark, k, chain):
+    want = CLEAN[k] + " Пыль, луч и кадр." * (k in (5, 6))
+    rows = [("sound", want)] + [(f"copy{i}", E.garble(f"{want} take {i}", chain)) for i in range(40)] + [(f"other{i}", E.garble(f"{want} {chr(97 + i)}{chr(98 + i)}", chain)) for i in range(20)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    got = {r["id"]: r["restored_text"] for r in E.restored_records(df, "id", "text").collect()}
+    assert set(got) == {i for i, _ in rows[1:]}
+    assert got["copy7"] == f"{want} take 7" and got["other3"] == f"{want} de"
