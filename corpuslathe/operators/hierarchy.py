@@ -58,7 +58,7 @@ def resolve_hierarchy(
     while True:
         parts = max(1, -(-n // rows_per_task))
         last = parts == 1
-        if n > one_task_rows and levels and n > 0.7 * levels[-1][1]:
+        if n > one_task_rows and (last or levels and n > 0.7 * levels[-1][1]):
             levels.append((_doubled(links, n), n))
             break
         local = links.repartition(parts, "k").mapInPandas(_shorten(last), _LINK)
@@ -69,7 +69,7 @@ def resolve_hierarchy(
         tops = local.where("top is not null").select(F.col("top").alias("k")).distinct()
         links = local.join(tops, "k", "left_semi")
         links = materialize(links, "skeleton")
-        rows_per_task, n = rows_per_task * 4, links.count()
+        rows_per_task, n = max(rows_per_task, min(rows_per_task * 4, one_task_rows)), links.count()
         if n == 0:
             break
     done = levels[-1][0]
@@ -126,13 +126,27 @@ def _shorten(last: bool):
 
 
 def _doubled(links: DataFrame, n: int) -> DataFrame:
-    """Pointer doubling: each round a link takes over its top's link; links still open after log2(n) + 1 rounds never end."""
-    state = links
-    for _ in range(max(1, n.bit_length()) + 1):
+    """Pointer doubling: each round a link takes over its top's link; links still open after log2(n) + 1 rounds never end.
+
+    Which links end is found with pointers alone. Names and ids are joined in a second pass over those, so a loop's never grow.
+    """
+    rounds = n.bit_length() + 1
+    jump = links.select("k", "top", "loop")
+    for _ in range(rounds):
+        if jump.where("top is not null").limit(1).count() == 0:
+            break
+        up = jump.select(F.col("k").alias("top"), F.col("top").alias("u_top"), F.col("loop").alias("u_loop"))
+        jump = materialize(jump.join(up, "top", "left").select("k", F.col("u_top").alias("top"), F.greatest("loop", F.coalesce("u_loop", F.lit(0))).alias("loop")), "jumps")
+    looped = (F.col("top").isNotNull()) | (F.col("loop") == 1)
+    bad = materialize(jump.where(looped).select("k"), "looped")
+    none = F.lit(None).cast("string")
+    lost = links.join(bad, "k", "left_semi").select("k", none.alias("top"), none.alias("base"), "dist", F.lit("").alias("names"), F.lit("").alias("ids"), F.lit(1).alias("loop"))
+    state = links.join(bad, "k", "left_anti")
+    for _ in range(rounds):
         if state.where("top is not null").limit(1).count() == 0:
-            return state
-        up = state.select(F.col("k").alias("top"), F.col("top").alias("u_top"), F.col("base").alias("u_base"), F.col("dist").alias("u_dist"), F.col("names").alias("u_names"), F.col("ids").alias("u_ids"), F.col("loop").alias("u_loop"))
-        open_, shut = F.col("top").isNotNull(), F.col("top").isNull()
+            break
+        up = state.select(F.col("k").alias("top"), F.col("top").alias("u_top"), F.col("base").alias("u_base"), F.col("dist").alias("u_dist"), F.col("names").alias("u_names"), F.col("ids").alias("u_ids"))
+        shut = F.col("top").isNull()
         state = state.join(up, "top", "left").select(
             "k",
             F.col("u_top").alias("top"),
@@ -140,16 +154,10 @@ def _doubled(links: DataFrame, n: int) -> DataFrame:
             (F.col("dist") + F.coalesce("u_dist", F.lit(0))).alias("dist"),
             F.when(shut, F.col("names")).otherwise(F.concat_ws("/", "u_names", "names")).alias("names"),
             F.when(shut, F.col("ids")).otherwise(F.concat_ws(_SEP, "u_ids", "ids")).alias("ids"),
-            F.when(open_, F.greatest("loop", F.coalesce("u_loop", F.lit(0)))).otherwise(F.col("loop")).alias("loop"),
+            "loop",
         )
-        # chains of a loop would double their names each round; a chain that meets its own start is one
-        own = F.col("top") == F.col("k")
-        state = state.withColumn("loop", F.when(own, 1).otherwise(F.col("loop")))
-        for c in ("names", "ids"):
-            state = state.withColumn(c, F.when(F.col("loop") == 1, F.lit("")).otherwise(F.col(c)))
-        state = state.withColumn("top", F.when(F.col("loop") == 1, F.lit(None)).otherwise(F.col("top")))
         state = materialize(state, "doubled")
-    return state.withColumn("loop", F.when(F.col("top").isNotNull(), 1).otherwise(F.col("loop"))).withColumn("top", F.lit(None).cast("string"))
+    return materialize(state.unionByName(lost), "doubled")
 
 
 def _with_loops(done: DataFrame, nodes: DataFrame, one_task_rows: int) -> DataFrame:

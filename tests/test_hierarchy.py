@@ -74,3 +74,30 @@ def test_faults(spark):
     df = rows(spark, [("a", None, "A", "A", 0), ("b", "a", "B", "A/x", 1), ("c", "b", "C", None, 5), ("c", "b", "C", None, 5), ("d", "e", "D", None, 0), ("e", "d", "E", None, None), ("g", "e", "G", None, 1)])
     got = {(x["id"], x["fault"]) for x in H.hierarchy_faults(df, H.resolve_hierarchy(df)).collect()}
     assert got == {("b", "path"), ("c", "depth"), ("d", "loop"), ("e", "loop"), ("g", "loop")}
+
+
+@pytest.mark.parametrize("size", [3, 5, 7])
+def test_doubling_keeps_loops_small(spark, size, monkeypatch):
+    longest = []
+    real = H.materialize
+
+    def watched(df, name):
+        out = real(df, name)
+        if "ids" in out.columns:
+            longest.append(max((len(r["ids"]) for r in out.select("ids").collect()), default=0))
+        return out
+
+    monkeypatch.setattr(H, "materialize", watched)
+    data = [(f"f{i}", f"f{(i + 1) % size}" if i < size else f"f{i - 1}", f"n{i}") for i in range(60)] + [(f"g{i}", f"g{i - 1}" if i else None, "g") for i in range(20)]
+    got = {r["node"]: (r["root"], r["depth"], r["path"], r["in_loop"], r["on_loop"]) for r in H.resolve_hierarchy(rows(spark, data), rows_per_task=2, one_task_rows=5).collect()}
+    assert got == brute(data)
+    assert max(longest) <= 20 * 4
+
+
+def test_no_task_above_its_bound(spark, monkeypatch):
+    lasts = []
+    real = H._shorten
+    monkeypatch.setattr(H, "_shorten", lambda last: lasts.append(last) or real(last))
+    data = [(f"c{i}", f"c{i - 1}" if i else None, f"x{i}") for i in range(60)]
+    got = {r["node"]: (r["root"], r["depth"], r["path"], r["in_loop"], r["on_loop"]) for r in H.resolve_hierarchy(rows(spark, data), rows_per_task=1000, one_task_rows=20).collect()}
+    assert got == brute(data) and True not in lasts
