@@ -185,16 +185,17 @@ def unlikely(text: str) -> float:
 
 
 def undone(text: str, chain: str, forms_: list[str], strong: bool) -> bool | None:
-    """Whether undoing the chain explains the record: True if most of what is beyond ASCII goes and the rest reads clearly better, False if it reads worse, else None.
+    """Whether undoing the chain explains the record: True if most of what is beyond ASCII goes and the rest reads clearly better, False if its forms read worse, else None.
 
     Of fewer than three forms all must be `strong`, and what they become be plain letters.
     """
+    # the forms alone tell whether they read worse: most of the record may be sound
+    if sum(unlikely(f) - unlikely(_undo(f, tuple(chain.split(">")), True)) for f in forms_) < 0:
+        return False
     got, _ = restore(text, {chain: forms_}, {}, odder=True)
     if got == text:
         return None
     better = unlikely(text) - unlikely(got)
-    if better < 0:
-        return False
     own, new = units(text)[2], units(got)[2]
     if len(forms_) < 3:
         return True if strong and better > 0 and not own & new and all(_plain(c) or c in _TYPOGRAPHIC for c in got) else None

@@ -56,3 +56,9 @@ def test_many_garbled_copies(spark, k, chain):
     got = {r["id"]: r["restored_text"] for r in E.restored_records(df, "id", "text").collect()}
     assert set(got) == {i for i, _ in rows[1:]}
     assert got["copy7"] == f"{want} take 7" and got["other3"] == f"{want} de"
+
+
+def test_undone_in_part():
+    words = "УЛПМШЪЙФ ЧМЕЧП УФПТПЦ РХУФПН ВБМШОПН"
+    assert E.undone(f"{CLEAN[5]}. {CLEAN[6]}. Камера плавно {words}", "koi8-r>cp1251", words.split(), False) is not False
+    assert E.undone(CLEAN[5], "cp1251>koi8-r", CLEAN[5].replace(",", "").split(), False) is False
