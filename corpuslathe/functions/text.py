@@ -30,9 +30,17 @@ def collapse(c: Column | str) -> Column:
     return strip(F.regexp_replace(col(c), r"(?U)\s+", " "))
 
 
+#: Characters that full case folding changes otherwise than lower case does, with what they become; by rule, from Unicode's own tables.
+_FOLDS = {c: c.casefold() for c in map(chr, range(0x20000)) if not "\ud800" <= c <= "\udfff" and c.casefold().lower() != c.lower() or c == "\u0130"}
+
+
 def fold(c: Column | str) -> Column:
-    """Without case: lower case, with sharp s as ss and final sigma as sigma."""
-    return F.replace(F.replace(F.lower(col(c)), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+    """Without case, as Unicode's full folding has it (Cherokee folds to small letters here, which unites the same texts)."""
+    v = col(c)
+    one = {a: b for a, b in _FOLDS.items() if len(b) == 1}
+    several = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _FOLDS.items() if len(b) > 1))
+    full = F.aggregate(several, F.translate(v, "".join(one), "".join(one.values())), lambda s, p: F.replace(s, p["a"], p["b"]))
+    return F.lower(F.when(v.rlike(f"[{''.join(_FOLDS)}]"), full).otherwise(v))
 
 
 def format_normalize(c: Column | str) -> Column:
@@ -60,13 +68,13 @@ def clip(c: Column | str, limit: int = 520) -> Column:
 
 
 #: Reference labels and adapter tokens that are no part of neutral text.
-_SYNTAX = r"(?i)<<<[^<>\r\n]{1,150}>>>|<(?:Picture|Subject|Video|Audio)\s+\d+>|(?<![\w@])@[A-Za-z][A-Za-z0-9_.-]*\b"
+SYNTAX = r"(?i)<<<[^<>\r\n]{1,150}>>>|<(?:Picture|Subject|Video|Audio)\s+\d+>|(?<![\w@])@[A-Za-z][A-Za-z0-9_.-]*\b"
 _TOKENS = r"(?i)\b(?:seedance|h3|t2va|i2va|fl2va|l2va|ref2va|r2v|i2v|t2v)\b"
 
 
 def clean_syntax(c: Column | str) -> Column:
     """Without reference labels, unclosed labels, adapter tokens and mode settings."""
-    v = F.regexp_replace(col(c), _SYNTAX, " ")
+    v = F.regexp_replace(col(c), SYNTAX, " ")
     v = F.regexp_replace(F.regexp_replace(v, r"<<<[^<>\r\n]*$", " "), r"^[^<>\r\n]*>>>", " ")
     v = F.replace(F.replace(v, F.lit("<<<"), F.lit(" ")), F.lit(">>>"), F.lit(" "))
     v = F.regexp_replace(F.regexp_replace(v, _TOKENS, " "), r"(?i)\b(?:mode|prompt\s*mode|runtime\s*task)\s*[:=]\s*[A-Za-z0-9_-]+", " ")
@@ -152,11 +160,43 @@ _MEDIA = r"(?i)\.(?:png|jpe?g|gif|webp|svg|ico|mp4|webm|mov|mp3|wav|woff2?|ttf|c
 _ENDPOINT = r"(?i)api|graphql|trpc|project|folder|asset"
 
 
+def host_is(c: Column | str, host: str) -> Column:
+    """An address of this host or of one below it."""
+    own = F.lower(F.regexp_extract(col(c), r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    return (own == host.lower()) | own.endswith("." + host.lower())
+
+
+def is_media(c: Column | str) -> Column:
+    return col(c).rlike(_MEDIA)
+
+
+def join_url(base: str, path: Column | str) -> Column:
+    """An address relative to `base`, as browsers resolve it: absolute, `//host`, `/path`, `?query`, `#part`, or beside the base's last part; . and .. are resolved."""
+    p = col(path)
+    scheme = base.split("://", 1)[0]
+    origin = f"{scheme}://" + base.split("://", 1)[1].split("/", 1)[0].split("?")[0].split("#")[0]
+    whole = base.split("#")[0]
+    plain = whole.split("?")[0]
+    folder = plain.rsplit("/", 1)[0] + "/" if plain.count("/") > 2 else origin + "/"
+    tail = F.regexp_extract(p, r"([?#].*)$", 1)
+    body = F.regexp_replace(p, r"[?#].*$", "")
+    full = F.when(body.startswith("/"), F.concat(F.lit(origin), body)).otherwise(F.concat(F.lit(folder), body))
+    parts = F.split(F.substring(full, F.lit(len(origin) + 2), F.length(full)), "/")
+
+    def step(done: Column, part: Column) -> Column:
+        return F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    dots = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    resolved = F.concat(F.lit(origin + "/"), F.array_join(kept, "/"), F.when(dots, F.lit("/")).otherwise(F.lit("")), tail)
+    return F.when(p.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), p).when(p.startswith("//"), F.concat(F.lit(scheme + ":"), p)).when(p == "", F.lit(whole)).when(p.startswith("#"), F.concat(F.lit(whole), p)).when(p.startswith("?"), F.concat(F.lit(plain), p)).otherwise(resolved)
+
+
 def endpoint_candidates(c: Column | str, base: str, limit: int = 500) -> Column:
     """Sorted distinct addresses in a text that look like endpoints: absolute URLs and quoted paths (joined to `base`)."""
     t = col(c)
     absolute = F.transform(F.regexp_extract_all(t, F.lit(r"https?://[^\"'`\\\s]+"), F.lit(0)), lambda u: F.rtrim(u, F.lit(")]},;:")))
-    paths = F.transform(F.regexp_extract_all(t, F.lit(r"[\"'`](/[^\"'`\\\s]{2,300})[\"'`]"), F.lit(1)), lambda p: F.concat(F.lit(base.rstrip("/")), p))
+    paths = F.transform(F.regexp_extract_all(t, F.lit(r"[\"'`](/[^\"'`\\\s]{2,300})[\"'`]"), F.lit(1)), lambda p: join_url(base, p))
     ok = F.filter(F.concat(absolute, paths), lambda u: u.rlike(_ENDPOINT) & ~u.rlike(_MEDIA))
     return F.slice(F.array_sort(F.array_distinct(ok)), F.lit(1), F.lit(limit))
 

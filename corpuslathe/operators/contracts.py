@@ -59,13 +59,16 @@ def missing_members(df: DataFrame, key: str, member: str, required: list[str]) -
 
 
 def gaps(df: DataFrame, number: str) -> DataFrame:
-    """(after, next): holes in what should be 1 .. n, and before its first. Distinct numbers are compared with their predecessor."""
-    # by ranges of numbers, so that no task orders all of them; the first of each range looks at the range before
+    """(after, next): holes in what should be 1 .. n, and before its first. Each number looks for its predecessor; only those without one are compared with the last number of an earlier range."""
     n = df.where(F.col(number).isNotNull()).select(F.col(number).cast("bigint").alias("n")).distinct().withColumn("blk", F.floor(F.col("n") / 100_000))
     inner = n.withColumn("p", F.lag("n").over(Window.partitionBy("blk").orderBy("n")))
-    ends = n.groupBy("blk").agg(F.max("n").alias("top"))
-    ends = ends.withColumn("before", F.lag("top").over(Window.orderBy("blk"))).select("blk", "before")
-    j = inner.join(F.broadcast(ends), "blk").withColumn("after", F.coalesce("p", "before", F.lit(0)))
+    # the first of a range meets the end of the range before; ranges without rows between them are looked up in a second, far smaller, round
+    ends = n.groupBy("blk").agg(F.max("n").alias("top")).withColumn("coarse", F.floor(F.col("blk") / 100_000))
+    near = ends.withColumn("before", F.lag("top").over(Window.partitionBy("coarse").orderBy("blk")))
+    far = ends.groupBy("coarse").agg(F.max("top").alias("top"))
+    far = far.withColumn("last", F.lag("top").over(Window.orderBy("coarse"))).select("coarse", "last")  # a row for ten billion numbers
+    near = near.join(F.broadcast(far), "coarse").select("blk", F.coalesce("before", "last").alias("before"))
+    j = inner.where("p is null").join(near, "blk").select("n", F.coalesce("before", F.lit(0)).alias("after")).unionByName(inner.where("p is not null").select("n", F.col("p").alias("after")))
     return j.where(F.col("n") != F.col("after") + 1).select("after", F.col("n").alias("next"))
 
 
@@ -99,19 +102,71 @@ def line_coverage(ranges: DataFrame, total: int) -> DataFrame:
     return spark.range(1, total + 1).withColumnRenamed("id", "line").join(used, "line", "full_outer").withColumn("times", F.coalesce("times", F.lit(0))).where((F.col("times") != 1) | ~F.col("line").between(1, total))
 
 
-#: What must not be in text that is handed on.
+#: What must not be in text that is handed on, and which tokens of the other adapter must not reach a target.
 LEAKS = {
-    "uuid": r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
-    "url": r"(?i)https?://",
-    "at_tag": r"(?<![\w@])@[A-Za-z][A-Za-z0-9_.-]*",
-    "duration": r"(?i)\b\d+(?:\.\d+)?\s*(?:s|sec|secs|second|seconds)\b|\d+(?:\.\d+)?\s*秒",
+    "source_asset_id": r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
+    "media_url": r"(?i)https?://",
+    "historical_at_tag": r"(?<![\w@])@[A-Za-z][A-Za-z0-9_.-]*",
+    "historical_duration": r"(?i)\b\d+(?:\.\d+)?\s*(?:s|sec|secs|second|seconds)\b|\d+(?:\.\d+)?\s*秒",
 }
+FOREIGN = {
+    "seedance": ("h3_syntax", ["Context-IR", "<Picture 1>", "<Video 1>", "<Audio 1>"]),
+    "h3": ("seedance_syntax", ["@source_tag", "Seedance adapter", "Seedance output schema"]),
+}
+NOT_HANDED_ON = ["task_id", "case_id", "final_owner"]
 
 
-def leaks(c: Column | str, tokens: tuple[str, ...] = ()) -> Column:
-    """Names of the kinds of leak a text has, and `token:x` for each forbidden token in it."""
+def leaks(c: Column | str, target: Column | None = None) -> Column:
+    """Codes of the kinds of leak a text has, and `kind:token` for each token of another adapter that a text for `target` holds."""
     t = col(c)
-    return F.array_compact(F.array(*(F.when(t.rlike(p), F.lit(n)) for n, p in LEAKS.items()), *(F.when(F.contains(t, F.lit(x)), F.lit(f"token:{x}")) for x in tokens)))
+    own = [F.when(t.rlike(p), F.lit(n)) for n, p in LEAKS.items()]
+    if target is not None:
+        own += [F.when((target == name) & F.contains(t, F.lit(x)), F.lit(f"{kind}:{x}")) for name, (kind, xs) in FOREIGN.items() for x in xs]
+    return F.array_compact(F.array(*own))
+
+
+def string_leaves(df: DataFrame, key: str, document: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """(key, path, value): every string in JSON texts, at any depth, with where it stands; top-level members in `without` are left out.
+
+    What is no JSON has none. Numbers, booleans and nulls are no strings. The walk keeps its own stack, so depth is bounded by the parser alone.
+    """
+    k_type = df.schema[key].dataType.simpleString()
+    skip = frozenset(without)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, t in zip(b["k"], b["d"], strict=True):
+                try:
+                    root = json.loads(t)
+                except (TypeError, ValueError, RecursionError):
+                    continue
+                if isinstance(root, dict):
+                    root = {n: v for n, v in root.items() if n not in skip}
+                stack = [("$", root)]
+                while stack:
+                    path, v = stack.pop()
+                    if isinstance(v, str):
+                        rows.append((k, path, v))
+                    elif isinstance(v, dict):
+                        stack += [(f"{path}.{n}", x) for n, x in reversed(v.items())]
+                    elif isinstance(v, list):
+                        stack += [(f"{path}[{i}]", x) for i, x in reversed(list(enumerate(v)))]
+            yield pd.DataFrame(rows, columns=["key", "path", "value"])
+
+    return df.select(F.col(key).alias("k"), F.col(document).alias("d")).mapInPandas(run, f"key {k_type}, path string, value string")
+
+
+def handoff_faults(handoffs: DataFrame, key: str, document: str, target: str) -> DataFrame:
+    """(key, code): leaks in any string of a handed-on JSON document, its own ids and owner left out; codes once a document."""
+    leaves = string_leaves(handoffs, key, document, tuple(NOT_HANDED_ON)).join(handoffs.select(F.col(key).alias("key"), F.col(target).alias("_target")), "key")
+    return leaves.select("key", F.explode(leaks("value", F.col("_target"))).alias("code")).distinct()
+
+
+def shared_fragments(left: str, right: str) -> Column:
+    """Members of two arrays of texts that both have, compared trimmed: what was put into both lists of a handoff."""
+    trim = lambda c: F.transform(F.coalesce(col(c), F.array().cast("array<string>")), lambda x: F.trim(x))
+    return F.array_sort(F.array_intersect(trim(left), trim(right)))
 
 
 def retrieval(signals: Column | str, triggers: list[str], skip: str) -> Column:
@@ -139,72 +194,107 @@ def schema_faults(df: DataFrame, key: str, document: str, schema: dict[str, Any]
                 except (TypeError, ValueError):
                     rows.append((k, "invalid_json", "$", "not JSON"))
                     continue
-                rows += [(k, *f) for f in validate(value, schema, schema, "$")]
+                rows += [(k, *f) for f in validate(value, schema)]
             yield pd.DataFrame(rows, columns=["key", "code", "path", "message"])
 
     return df.select(F.col(key).alias("k"), F.col(document).alias("d")).mapInPandas(run, f"key {k_type}, code string, path string, message string")
 
 
-_KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
-
-
-def _is(value: Any, kind: str) -> bool:
-    number = isinstance(value, (int, float)) and not isinstance(value, bool)
-    if kind == "number":
-        return number
-    if kind == "integer":
-        return number and float(value).is_integer()
-    return isinstance(value, _KINDS[kind])
-
-
-def validate(value: Any, schema: dict[str, Any], root: dict[str, Any], path: str) -> Iterator[tuple[str, str, str]]:
-    """(code, path, message) of each fault."""
-    while "$ref" in schema:
-        at: Any = root
-        for part in schema["$ref"].removeprefix("#/").split("/"):
-            at = at[part]
-        schema = at
-    if "type" in schema:
-        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-        if not any(_is(value, k) for k in kinds):
-            yield "type", path, f"expected {' or '.join(kinds)}"
-            return
-    if "const" in schema and value != schema["const"]:
-        yield "const", path, f"expected {schema['const']!r}"
-    if "enum" in schema and value not in schema["enum"]:
-        yield "enum", path, "not among the allowed values"
-    if isinstance(value, str):
-        if len(value) < schema.get("minLength", 0):
-            yield "minLength", path, f"shorter than {schema['minLength']}"
-        if "pattern" in schema and not re.search(schema["pattern"], value):
-            yield "pattern", path, f"doesn't match {schema['pattern']}"
-    if _is(value, "number") and "minimum" in schema and value < schema["minimum"]:
-        yield "minimum", path, f"less than {schema['minimum']}"
-    if isinstance(value, list):
-        if len(value) < schema.get("minItems", 0):
-            yield "minItems", path, f"fewer than {schema['minItems']} items"
-        if "maxItems" in schema and len(value) > schema["maxItems"]:
-            yield "maxItems", path, f"more than {schema['maxItems']} items"
-        first = schema.get("prefixItems", [])
-        for i, x in enumerate(value):
-            sub = first[i] if i < len(first) else schema.get("items")
-            if sub is False:
-                yield "items", f"{path}[{i}]", "no further item allowed"
-            elif isinstance(sub, dict):
-                yield from validate(x, sub, root, f"{path}[{i}]")
-    if isinstance(value, dict):
-        own = schema.get("properties", {})
-        for name in schema.get("required", []):
-            if name not in value:
-                yield "required", f"{path}.{name}", "missing"
-        more = schema.get("additionalProperties", True)
-        for name, x in value.items():
-            if name in own:
-                yield from validate(x, own[name], root, f"{path}.{name}")
-            elif more is False:
-                yield "additionalProperties", f"{path}.{name}", "not allowed"
-            elif isinstance(more, dict):
-                yield from validate(x, more, root, f"{path}.{name}")
+class Schema:
+    """The keywords of the published standard that are asserted here, a handler each; what a keyword doesn't apply to passes it."""
+
+    def __init__(self, root: dict[str, Any]) -> None:
+        self.root = root
+
+    def faults(self, value: Any, schema: Any, path: str = "$") -> list[tuple[str, str, str]]:
+        """(code, path, message) of each fault; true and the empty schema accept all, false nothing."""
+        if isinstance(schema, bool):
+            return [] if schema else [("false", path, "nothing is allowed here")]
+        found = []
+        for name, wanted in schema.items():
+            handler = getattr(self, f"on_{name.lstrip('$').lower()}", None)
+            if handler:
+                found += handler(value, wanted, schema, path)
+        return found
+
+    def on_ref(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        at: Any = self.root
+        for step in filter(None, wanted.lstrip("#").split("/")):
+            at = at[step.replace("~1", "/").replace("~0", "~")]
+        return self.faults(value, at, path)
+
+    @staticmethod
+    def kinds(value: Any) -> set[str]:
+        """The standard's names for what a value is; a whole number is a number too, however it is written."""
+        match value:
+            case None:
+                return {"null"}
+            case bool():
+                return {"boolean"}
+            case int() | float():
+                return {"number", "integer"} if float(value).is_integer() else {"number"}
+            case str():
+                return {"string"}
+            case list():
+                return {"array"}
+            case _:
+                return {"object"}
+
+    def on_type(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        names = {wanted} if isinstance(wanted, str) else set(wanted)
+        return [] if names & self.kinds(value) else [("type", path, f"is not of type {', '.join(sorted(names))}")]
+
+    def on_enum(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [] if any(_same(value, x) for x in wanted) else [("enum", path, "is none of the enumerated values")]
+
+    def on_const(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [] if _same(value, wanted) else [("const", path, f"is not {json.dumps(wanted, ensure_ascii=False)}")]
+
+    def on_minimum(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [("minimum", path, f"is below {wanted}")] if "number" in self.kinds(value) and value < wanted else []
+
+    def on_minlength(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [("minLength", path, f"has fewer than {wanted} characters")] if isinstance(value, str) and len(value) < wanted else []
+
+    def on_pattern(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [("pattern", path, f"has no match of {wanted}")] if isinstance(value, str) and not re.search(wanted, value) else []
+
+    def on_minitems(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [("minItems", path, f"has fewer than {wanted} items")] if isinstance(value, list) and len(value) < wanted else []
+
+    def on_maxitems(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [("maxItems", path, f"has more than {wanted} items")] if isinstance(value, list) and len(value) > wanted else []
+
+    def on_prefixitems(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        pairs = enumerate(zip(value, wanted, strict=False)) if isinstance(value, list) else ()
+        return [f for i, (x, sub) in pairs for f in self.faults(x, sub, f"{path}[{i}]")]
+
+    def on_items(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        start = len(schema.get("prefixItems", ()))
+        rest = list(enumerate(value))[start:] if isinstance(value, list) else ()
+        return [f for i, x in rest for f in self.faults(x, wanted, f"{path}[{i}]")]
+
+    def on_required(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [("required", f"{path}.{n}", "is required") for n in wanted if isinstance(value, dict) and n not in value]
+
+    def on_properties(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        return [f for n, sub in wanted.items() if isinstance(value, dict) and n in value for f in self.faults(value[n], sub, f"{path}.{n}")]
+
+    def on_additionalproperties(self, value, wanted, schema, path):  # noqa: ANN001, ANN201
+        more = [n for n in value if n not in schema.get("properties", {})] if isinstance(value, dict) else []
+        if wanted is False:
+            return [("additionalProperties", f"{path}.{n}", "is not a property of this object") for n in more]
+        return [f for n in more for f in self.faults(value[n], wanted, f"{path}.{n}")]
+
+
+def _same(a: Any, b: Any) -> bool:
+    """Equality of JSON values: true is not 1."""
+    return a == b and isinstance(a, bool) == isinstance(b, bool)
+
+
+def validate(value: Any, schema: dict[str, Any]) -> list[tuple[str, str, str]]:
+    """(code, path, message) of each fault of a JSON value against a schema, in the order of the schema's keywords."""
+    return Schema(schema).faults(value, schema)
 
 
 def signal_coverage(tasks: DataFrame, target: str, signals: str, required: list[str]) -> DataFrame:
@@ -213,10 +303,11 @@ def signal_coverage(tasks: DataFrame, target: str, signals: str, required: list[
     return per.select(target, F.array_except(F.array(*(F.lit(r) for r in sorted(required))), "have").alias("missing")).where(F.size("missing") > 0)
 
 
-def issue_register(rows: DataFrame, status: str, codes: str) -> DataFrame:
-    """(status, code, rows) of issue codes by status; rows without a code under <none>."""
+def issue_register(rows: DataFrame, status: str, codes: str, failed: str | None = None) -> DataFrame:
+    """(status, code, rows, failed) of issue codes by status; rows without a code under <none>; failed counts those whose flag of that name is set."""
     code = F.explode(F.when(F.size(codes) > 0, F.col(codes)).otherwise(F.array(F.lit("<none>"))))
-    return rows.select(F.col(status).alias("status"), code.alias("code")).groupBy("status", "code").agg(F.count("*").alias("rows"))
+    bad = F.col(failed) if failed else F.lit(False)
+    return rows.select(F.col(status).alias("status"), bad.alias("_f"), code.alias("code")).groupBy("status", "code").agg(F.count("*").alias("rows"), F.count_if("_f").alias("failed"))
 
 
 def digest_chain(stages: DataFrame) -> DataFrame:
@@ -238,3 +329,70 @@ def children_faults(rows: DataFrame) -> DataFrame:
     r = rows.withColumn("n", F.row_number().over(Window.partitionBy("page_number", "folder_id").orderBy("item_index")))
     codes = F.array_compact(F.array(F.when(~F.col("parent_id").eqNullSafe(F.col("asked_parent")), F.lit("parent_mismatch")), F.when(F.col("n") > 1, F.lit("duplicate_folder_in_page"))))
     return r.select("page_number", "folder_id", F.explode(codes).alias("code"))
+
+
+def _report(df_rows: DataFrame) -> DataFrame:
+    """(check, actual, expected, passed) with `all`: how many passed of how many."""
+    rows = df_rows.select("check", F.col("actual").cast("bigint").alias("actual"), F.col("expected").cast("bigint").alias("expected"), F.col("actual").eqNullSafe(F.col("expected")).alias("passed"))
+    return rows.unionByName(rows.agg(F.lit("all").alias("check"), F.count_if("passed").alias("actual"), F.count("*").alias("expected"), F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed")))
+
+
+def _figures(row: DataFrame, pairs: dict[str, tuple[Column, Column]]) -> DataFrame:
+    return row.select(F.explode(F.array(*(F.struct(F.lit(n).alias("check"), a.cast("bigint").alias("actual"), e.cast("bigint").alias("expected")) for n, (a, e) in pairs.items()))).alias("c")).select("c.*")
+
+
+def corpus_audit(occurrences: DataFrame, assets: DataFrame, prompts: DataFrame, folders: DataFrame) -> DataFrame:
+    """(check, actual, expected, passed) of a crawl: occurrences (asset_id, source_page, source_item_index), assets (asset_id, folder_id, prompt_sha256), prompts, folders.
+
+    What pages say they hold against what was recorded, what was recorded against what became assets and repeats, pages without gaps, texts without
+    URLs and as long and hashed as they should be, references that lead somewhere. Tables of any size: each is read once and only counted.
+    """
+    zero = F.lit(0)
+    pages = occurrences.groupBy("source_page").agg((F.max("source_item_index") + 1).alias("stated"), F.count("*").alias("n"))
+    seen = pages.agg(F.sum("stated").alias("stated"), F.sum("n").alias("n"), F.count("source_page").alias("pages"), F.max("source_page").alias("last"))
+    per = occurrences.groupBy("asset_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("unique"), F.sum(F.col("n") - 1).alias("again"))
+    text = prompts.agg(F.count_if(F.lower("prompt_text").rlike("https?://")).alias("urls"), F.count_if((F.col("url_redaction_count") == 0) & (F.sha2("prompt_text", 256) != F.col("prompt_sha256"))).alias("hashes"), F.count_if(F.length("prompt_text") != F.col("analysis_prompt_chars")).alias("lengths"))
+    unknown = foreign_keys(assets, "folder_id", folders, "folder_id").agg(F.coalesce(F.sum("rows"), zero).alias("unknown"))
+    orphans = foreign_keys(assets, "prompt_sha256", prompts, "prompt_sha256").agg(F.count("*").alias("orphans"))
+    row = seen.crossJoin(per).crossJoin(text).crossJoin(unknown).crossJoin(orphans)  # one row each
+    return _report(_figures(row, {
+        "item_occurrence_count": (F.col("n"), F.col("stated")), "accounted_occurrence_count": (F.col("unique") + F.col("again"), F.col("n")), "page_sequence_contiguous": (F.col("pages"), F.col("last")),
+        "stored_prompt_urls_absent": (F.col("urls"), zero), "prompt_hashes_match": (F.col("hashes"), zero), "prompt_lengths_match": (F.col("lengths"), zero),
+        "unknown_folder_assets_absent": (F.col("unknown"), zero), "orphan_prompts_absent": (F.col("orphans"), zero),
+    }))
+
+
+def inventory_audit(direct: DataFrame, folders: DataFrame) -> DataFrame:
+    """(check, actual, expected, passed) of `direct_counts`: the direct counts of all folders add up to what their roots report, no parent is missing, no direct count is negative."""
+    known = folders.select(F.col("folder_id").alias("parent_id"), F.lit(True).alias("_known"))
+    roots = folders.select("parent_id", "reported_asset_count").join(known, "parent_id", "left").where("_known is null").agg(F.sum("reported_asset_count").alias("roots"))
+    row = direct.agg(F.sum("derived_direct").alias("direct"), F.count_if(F.col("issue") == "missing_parent").alias("missing"), F.count_if(F.col("derived_direct") < 0).alias("negative")).crossJoin(roots)  # one row each
+    return _report(_figures(row, {"derived_direct_asset_total": (F.col("direct"), F.col("roots")), "missing_parents_absent": (F.col("missing"), F.lit(0)), "negative_direct_counts_absent": (F.col("negative"), F.lit(0))}))
+
+
+def mapping_faults(keys: DataFrame, occurrences: DataFrame, memberships: DataFrame, assets: DataFrame, key: str = "prompt_sha256") -> DataFrame:
+    """(key, occurrences, assets, memberships) of keys whose mappings don't close: rows listed and distinct assets differ, or some assets have no membership."""
+    n = occurrences.where(F.col(key).isNotNull()).groupBy(key, "asset_id").agg(F.count("*").alias("n")).groupBy(key).agg(F.sum("n").alias("occurrences"), F.count("*").alias("assets"))
+    m = memberships.groupBy("asset_id").agg(F.count("*").alias("m")).join(assets.select("asset_id", key), "asset_id").groupBy(key).agg(F.sum("m").alias("memberships"))
+    j = keys.select(key).join(n, key, "left").join(m, key, "left").select(key, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("occurrences", "assets", "memberships")))
+    return j.where("occurrences <> assets or assets > memberships")
+
+
+def unlinked_decisions(decisions: DataFrame, evidence: DataFrame, key: str) -> DataFrame:
+    """Decisions (key, field, evidence_ordinal, ...) whose evidence isn't there: no ordinal, or one that no evidence of the key and field has."""
+    on = [key, "field", "evidence_ordinal"]
+    return decisions.join(evidence.select(key, "field", F.col("ordinal").alias("evidence_ordinal")).distinct(), on, "left_anti")
+
+
+def forbidden_columns(df: DataFrame, forbidden: tuple[str, ...]) -> list[str]:
+    """Columns, nested ones included, whose name holds a forbidden word: features that must not be used aren't there."""
+
+    def names(t, path: str) -> list[str]:  # noqa: ANN001
+        own = [path] if path else []
+        if hasattr(t, "elementType"):
+            return own + names(t.elementType, f"{path}[]")[1:]
+        if hasattr(t, "fields"):
+            return own + [n for f in t.fields for n in names(f.dataType, f"{path}.{f.name}".lstrip("."))]
+        return own
+
+    return [n for n in names(df.schema, "") if any(w.lower() in n.rsplit(".", 1)[-1].lower() for w in forbidden)]

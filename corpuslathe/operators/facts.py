@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from corpuslathe.functions import text as T
 from corpuslathe.functions.numbers import decimal_comma, duration_state, durations_disjoint, length_band, marker_band, reference_band
+from corpuslathe.runtime import materialize
 
 #: The patterns of the prompt format.
-_UNIT = r"(?:s\b|secs?\b|seconds?\b|秒|сек(?:унд[аы]?)?\b)"
+_UNIT = r"(?:s\b|secs?\b|seconds?\b|秒\b|сек(?:унд[аы]?)?\b)"
 LABELED_DURATION = r"(?iU)\b(?:total\s+)?duration\s*(?::|=|-)?\s*([~≈])?(\d+(?:[.,]\d+)?)\s*" + _UNIT
 DURATION = r"(?iU)(?<![\w.])([~≈])?(\d+(?:[.,]\d+)?)\s*" + _UNIT
 SETTINGS_LINE = r"(?iU)(?:16\s*:\s*9|2\.3\d\s*:\s*1|\b(?:SFX|Photoreal|NON-IP|Cinematic|Output|Settings)\b)"
@@ -121,7 +122,7 @@ def _settings(c: Column) -> Column:
     doc = F.when(body.startswith("{") & body.endswith("}"), F.try_parse_json(body))
     out = []
     for k, kind in SETTING_KEYS.items():
-        pattern = '"' + k + r'"\s*:\s*(?:"(?:\\.|[^"\\])*"|[-+]?\d+(?:\.\d+)?|true|false|null)'
+        pattern = _setting(k)
         raw = F.try_variant_get(doc, f"$.{k}", "string")
         number = F.try_variant_get(doc, f"$.{k}", "double")
         first = F.slice(T.spans(c, pattern), F.lit(1), F.lit(1))
@@ -238,20 +239,57 @@ def _rules(c: Column, low: Column) -> Column:
     )
 
 
+def _evidence(c: Column, facts: Column) -> Column:
+    """The facts with the hash and a preview of their piece of text, in order; of equal kind, span and value the first rule's alone."""
+
+    def once(b: Column) -> Column:
+        same = lambda x, y: (x["start"] == y["start"]) & (x["end"] == y["end"]) & (x["kind"] == y["kind"]) & x["value"].eqNullSafe(y["value"])
+        return F.filter(b["sorted"], lambda x, i: (i == 0) | ~same(x, F.get(b["sorted"], i - 1)))
+
+    def order(x: Column) -> Column:
+        return F.struct(*(x[n].alias(n) for n in ("start", "end", "kind", "value", "rank", "subtype", "rule", "confidence")))
+
+    def proof(x: Column) -> Column:
+        piece = T.slice_of(c, x["start"], x["end"])
+        return F.struct(*(x[n].alias(n) for n in ("start", "end", "kind", "subtype", "value", "rule", "confidence")), F.sha2(piece, 256).alias("sha256"), F.substring(T.collapse(piece), 1, 240).alias("preview"))
+
+    first = T.let(once, sorted=F.array_sort(F.transform(facts, order)))
+    return F.array_sort(F.transform(first, proof))
+
+
 def extract_facts(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, ordinal, kind, subtype, start, end, value, sha256, preview, rule, confidence): the facts of each text with their evidence.
 
-    Null and empty texts have none. ordinal counts from 0 by start, end, kind, subtype and value. Of facts of equal kind, span and value the
-    first rule's stands.
+    Null and empty texts have none. ordinal counts from 0 by start, end, kind, subtype and value, within each row. Of facts of equal kind, span and
+    value the first rule's stands. All of it is made within the row, so nothing is shuffled and the text stays behind. A null key is kept.
+    """
+    f = texts.select(key, F.posexplode(_evidence(F.col(text), facts_of(F.col(text)))).alias("ordinal", "f"))
+    return f.select(key, "ordinal", *(F.col(f"f.{n}").alias(n) for n in ("kind", "subtype", "start", "end", "value", "sha256", "preview", "rule", "confidence")))
+
+
+def safely(texts: DataFrame, key: str, text: str, extractor, schema: str):  # noqa: ANN001, ANN201
+    """(rows, failures) of an extractor in Python, a function from (text) to a list of rows of `schema`: rows (key, ordinal, schema), failures (key, code, reason).
+
+    A text whose extractor raises leaves no rows and one failure, parser_exception, with the error's type; all others go on.
     """
-    from pyspark.sql import Window
+    import pandas as pd
+
+    names = [f.strip().split()[0] for f in schema.split(",")]
+    k_type = texts.schema[key].dataType.simpleString()
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for b in batches:
+            out = []
+            for k, t in zip(b["k"], b["t"], strict=True):
+                try:
+                    out += [(k, i, None, *r) for i, r in enumerate(list(extractor(t)))]
+                except Exception as e:  # noqa: BLE001 - whatever a pluggable extractor raises
+                    out.append((k, -1, type(e).__name__, *[None] * len(names)))
+            yield pd.DataFrame(out, columns=["key", "ordinal", "failure", *names])
 
-    f = texts.select(key, F.col(text).alias("_t"), F.explode(facts_of(F.col(text))).alias("f")).select(key, "_t", "f.*")
-    one = Window.partitionBy(key, "kind", "start", "end", "value").orderBy("rank", "subtype")
-    f = f.withColumn("_n", F.row_number().over(one)).where("_n = 1")
-    f = f.withColumn("ordinal", F.row_number().over(Window.partitionBy(key).orderBy("start", "end", "kind", "subtype", "value")) - 1)
-    piece = T.slice_of("_t", F.col("start"), F.col("end"))
-    return f.select(key, "ordinal", "kind", "subtype", "start", "end", "value", F.sha2(piece, 256).alias("sha256"), F.substring(T.collapse(piece), 1, 240).alias("preview"), "rule", "confidence")
+    got = materialize(texts.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"key {k_type}, ordinal int, failure string, {schema}"), "extracted")
+    rows = got.where("failure is null").select(F.col("key").alias(key), "ordinal", *names)
+    return rows, got.where("failure is not null").select(F.col("key").alias(key), F.lit("parser_exception").alias("code"), F.col("failure").alias("reason"))
 
 
 def structure(texts: DataFrame, facts: DataFrame, key: str, metadata: DataFrame | None = None) -> DataFrame:
@@ -287,21 +325,47 @@ def structure(texts: DataFrame, facts: DataFrame, key: str, metadata: DataFrame
     )
 
 
+def _setting(k: str) -> str:
+    return '"' + k + r'"\s*:\s*(?:"(?:\\.|[^"\\])*"|[-+]?\d+(?:\.\d+)?|true|false|null)'
+
+
+def _has(doc: Column, k: str) -> Column:
+    """The setting is there and a scalar."""
+    kind = F.schema_of_variant(F.try_variant_get(doc, f"$.{k}", "variant"))
+    return F.coalesce(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), F.lit(False))
+
+
+def _unsupported(doc: Column, k: str, kind: str) -> Column:
+    """The setting has a value of a kind that can't be one: a duration that is no number, others that are no text or number."""
+    has = F.schema_of_variant(F.try_variant_get(doc, f"$.{k}", "variant"))
+    number = has.isin("BIGINT", "DOUBLE") | has.startswith("DECIMAL")
+    ok = number if kind == "declared_duration" else has == "STRING" if kind == "declared_aspect_ratio" else (has == "STRING") | number
+    return F.coalesce(~ok & (has != "VOID"), F.lit(False))
+
+
 def issues(texts: DataFrame, struct: DataFrame, facts: DataFrame, key: str, text: str, redactions: str | None = None) -> DataFrame:
     """(key, code): what is doubtful about a text or its facts."""
     tags = facts.where("kind in ('reference_tag', 'reference_block')").groupBy(key).agg(F.collect_set(F.when(F.col("subtype") == "triple", F.concat(F.lit("<<<"), "value", F.lit(">>>")))).alias("used"), F.collect_set(F.when(F.col("kind") == "reference_block", F.get_json_object("value", "$.label"))).alias("defined"))
     cols = [key, text] + ([redactions] if redactions else [])
-    j = texts.select(*cols).join(struct, key).join(tags, key, "left")
+    # what is asked of the text is asked before the joins, so that it stays behind
     body = T.strip(text)
+    doc = F.try_parse_json(body)
+    is_json = body.startswith("{") & body.endswith("}")
+    settings = F.array_compact(F.array(*(F.when(_unsupported(doc, k, kind), F.lit(k)) for k, kind in SETTING_KEYS.items())))
+    lost = F.array_compact(F.array(*(F.when(_has(doc, k) & ~F.col(text).rlike(_setting(k)), F.lit(k)) for k in SETTING_KEYS)))
+    seen = {"_bad": is_json & doc.isNull(), "_odd": is_json & (F.size(settings) > 0), "_lost": is_json & (F.size(lost) > 0), "_ufffd": F.contains(F.col(text), F.lit("�"))}
+    j = texts.select(*(c for c in cols if c != text), *(c.alias(n) for n, c in seen.items())).join(struct, key).join(tags, key, "left")
     flags = {
-        "invalid_json_prompt": body.startswith("{") & body.endswith("}") & F.try_parse_json(body).isNull(),
+        "invalid_json_prompt": F.col("_bad"),
+        "unsupported_json_setting_value": F.col("_odd"),
+        "json_field_span_not_found": F.col("_lost"),
         "unresolved_reference_occurrence": F.size(F.array_except(F.coalesce("used", F.array().cast("array<string>")), F.coalesce("defined", F.array().cast("array<string>")))) > 0,
         "take_structure_conflict": F.col("take_structure") == "conflict",
         "multiple_declared_duration_values": F.size("declared_durations") > 1,
         "duration_metadata_conflict": durations_disjoint("declared_durations", "metadata_durations"),
         "multiple_output_aspect_values": F.size("aspects") > 1,
         "audio_dialogue_scope_ambiguity": F.col("sfx_only") & (F.col("dialogue_evidence_count") > 0),
-        "unicode_replacement_character": F.contains(F.col(text), F.lit("�")),
+        "unicode_replacement_character": F.col("_ufffd"),
     }
     if redactions:
         flags["prompt_url_redacted"] = F.col(redactions) > 0

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslathe.functions.text import col
+from corpuslathe.runtime import materialize
 
 NULL = "<null>"
 
@@ -41,21 +42,49 @@ def size_histogram(groups: DataFrame, size: str) -> DataFrame:
     return groups.groupBy(F.col(size).alias("size")).agg(F.count("*").alias("groups"))
 
 
-def normalized_groups(df: DataFrame, key: str, text: str, normalizer: Callable[[Column], Column], least: int = 2) -> DataFrame:
-    """(fingerprint, variants, first_key) of different texts that a normalizer makes equal: candidates, never merged."""
-    return df.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.sha2(normalizer(F.col(text)), 256).alias("fingerprint")).distinct().groupBy("fingerprint").agg(F.count("*").alias("variants"), F.min("k").alias("first_key")).where(F.col("variants") >= least)
+def normalized_groups(df: DataFrame, key: str, text: str, normalizer: Callable[[Column], Column], least: int = 2, weight: str | None = None) -> DataFrame:
+    """(fingerprint, variants, first_key) of different texts that a normalizer makes equal: candidates, never merged. weight: a column whose sum is given as `assets`."""
+    w = F.coalesce(F.col(weight), F.lit(0)) if weight else F.lit(0)
+    one = df.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.sha2(normalizer(F.col(text)), 256).alias("fingerprint"), w.alias("w")).distinct()
+    g = one.groupBy("fingerprint").agg(F.count("*").alias("variants"), F.min("k").alias("first_key"), F.sum("w").alias("assets")).where(F.col("variants") >= least)
+    return g if weight else g.drop("assets")
 
 
-def nearest_index_percentiles(df: DataFrame, value: str, fractions: list[float]) -> DataFrame:
-    """(fraction, value): of the sorted values that at index round((n - 1) * fraction), halves to even; no rows: none.
+def running(df: DataFrame, order: list[Column], amount: Column, name: str = "upto") -> tuple[DataFrame, int]:
+    """(`df` with the sum of `amount` over all rows up to each one in order, the sum of all).
 
-    Values are counted first, so what is sorted are distinct values with running counts, not rows.
+    Rows are sorted by ranges; each range adds up its own, and what the ranges before it have is known from one sum a range, the
+    only thing that reaches the driver. No task orders more than its range.
     """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialize(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id(), "_n": amount.cast("bigint")}), "ranged")
+    before, total = [], 0
+    for r in ranged.groupBy("_part").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).orderBy("_part").collect():
+        before.append((r["_part"], total))
+        total += r["n"]
+    start = df.sparkSession.createDataFrame(before, "_part int, _before bigint")
+    own = F.sum("_n").over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.withColumn("_own", own).join(F.broadcast(start), "_part").withColumn(name, F.col("_own") + F.col("_before")).select(*df.columns, name), total  # one row a range
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "number") -> DataFrame:
+    """`df` with the place of each row in a total order, from 1."""
+    return running(df, list(order), F.lit(1), name)[0]
+
+
+def numbered_members(df: DataFrame, group: str, member: str, name: str = "ordinal") -> DataFrame:
+    """Distinct (group, member) with the place of each member in its group, from 0. A group may be far larger than a task: ranges are ordered, not groups."""
+    all_ = numbered(df.select(group, member).where(F.col(group).isNotNull()).distinct(), F.col(group), F.col(member), name="_place")
+    first = all_.groupBy(group).agg(F.min("_place").alias("_first"))
+    return all_.join(first, group).select(group, (F.col("_place") - F.col("_first")).alias(name), member)
+
+
+def nearest_index_percentiles(df: DataFrame, value: str, fractions: list[float]) -> DataFrame:
+    """(fraction, value): of the sorted values that at index round((n - 1) * fraction), halves to even; no rows: none."""
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    w = Window.orderBy("v")
-    run = counts.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy()))
+    run, total = running(counts, [F.col("v")], F.col("n"))
     f = run.withColumn("fraction", F.explode(F.array(*(F.lit(x) for x in fractions))))
-    at = F.bround((F.col("total") - 1) * F.col("fraction"), 0)
+    at = F.bround((F.lit(total) - 1) * F.col("fraction"), 0)
     return f.where((F.col("upto") > at) & (F.col("upto") - F.col("n") <= at)).select("fraction", F.col("v").alias("value"))
 
 
@@ -67,6 +96,14 @@ def outliers(df: DataFrame, key: str, value: str, low: float = 0.01, high: float
     return rows.select(key, F.col(value).alias("value"), F.explode(side).alias("side"))
 
 
+def outlier_order(rows: DataFrame, key: str) -> DataFrame:
+    """`outliers` with the place of each in its side: from the shortest up, from the longest down, ties by key."""
+    far = F.when(F.col("side") == "bottom", F.col("value")).otherwise(-F.col("value"))
+    all_ = numbered(rows.withColumn("_far", far), F.col("side"), F.col("_far"), F.col(key), name="_place")
+    first = all_.groupBy("side").agg(F.min("_place").alias("_first"))
+    return all_.join(F.broadcast(first), "side").select(key, "value", "side", (F.col("_place") - F.col("_first") + 1).alias("place"))  # two sides
+
+
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """The first n rows of a total order."""
     return df.orderBy(*order).limit(n)
@@ -129,15 +166,16 @@ def closure(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def nested_export(keys: DataFrame, prompts: DataFrame, assets: DataFrame, memberships: DataFrame) -> DataFrame:
-    """Per requested key, in its order: (ordinal, prompt_sha256, found, assets), assets an array of (asset_id, folders).
+    """Per requested key: (ordinal, prompt_sha256, found, assets), assets an array of (asset_id, folders) in order of their ids.
 
-    keys: (ordinal, prompt_sha256). Children are collected before they are joined, so rows don't multiply. A key that isn't there has
-    found false.
+    keys: (ordinal, prompt_sha256), a request of moderate size; only its assets are collected. Children are collected before they are
+    joined, so rows don't multiply. A key that isn't there has found false. The rows' order is that of `ordinal`.
     """
-    m = memberships.groupBy("asset_id").agg(F.array_sort(F.collect_set("folder_id")).alias("folders"))
-    a = assets.select("asset_id", "prompt_sha256").distinct().join(m, "asset_id", "left")
+    a = assets.select("asset_id", "prompt_sha256").join(keys.select("prompt_sha256").distinct(), "prompt_sha256", "left_semi").distinct()
+    m = memberships.join(a.select("asset_id").distinct(), "asset_id", "left_semi").groupBy("asset_id").agg(F.array_sort(F.collect_set("folder_id")).alias("folders"))
+    a = a.join(m, "asset_id", "left")
     a = a.groupBy("prompt_sha256").agg(F.array_sort(F.collect_list(F.struct("asset_id", F.coalesce("folders", F.array().cast("array<string>")).alias("folders")))).alias("assets"))
-    p = prompts.select("prompt_sha256").distinct().withColumn("found", F.lit(True))
+    p = prompts.select("prompt_sha256").join(keys.select("prompt_sha256"), "prompt_sha256", "left_semi").distinct().withColumn("found", F.lit(True))
     return keys.join(p, "prompt_sha256", "left").join(a, "prompt_sha256", "left").select("ordinal", "prompt_sha256", F.coalesce("found", F.lit(False)).alias("found"), F.coalesce("assets", F.array().cast("array<struct<asset_id:string,folders:array<string>>>")).alias("assets"))
 
 
@@ -177,33 +215,69 @@ def families_in_turn(df: DataFrame, key: str, family: str, families: list[str],
     return chosen
 
 
-def greedy_quota(df: DataFrame, key: str, family: str, blockers: str, quota: int, *order: Column, most: int = 100_000) -> DataFrame:
+def greedy_quota(df: DataFrame, key: str, family: str, blockers: str, quota: int, *order: Column, chunk: int = 20_000) -> DataFrame:
     """(key, family, decision): candidates in order; chosen unless their key or one of their blocking groups was chosen before, or the family is full.
 
-    Sequential by nature: one task folds over the ranked candidates, of which there must be at most `most` (rank first).
-    decision: selected, duplicate_key, blocked, quota_reached.
+    decision: selected, duplicate_key, blocked, quota_reached. Any number of candidates: what is chosen (at most `quota` a family) decides about
+    all others, so rounds fold over the next `chunk` candidates that nothing chosen so far rules out, until none is left; then each
+    row is judged by what was chosen before its place. The first row of a round is always chosen, and full families drop out at once.
     """
-    n = df.limit(most + 1).count()
-    if n > most:
-        raise ValueError(f"more than {most} candidates: rank and cut them first")
-    rows = df.withColumn("_o", F.row_number().over(Window.orderBy(*order))).select("_o", F.col(key).cast("string").alias("key"), F.col(family).cast("string").alias("family"), F.col(blockers).alias("blockers"))
+    rows = numbered(df, *order, name="_o")
+    rows = materialize(rows.select("_o", F.col(key).cast("string").alias("key"), F.col(family).cast("string").alias("family"), F.coalesce(F.col(blockers), F.array().cast("array<string>")).alias("blockers")), "candidates")
+    keys: dict = {}
+    groups: dict = {}
+    chosen: dict = {}
+    done = 0
+    while True:
+        left = rows.where(F.col("_o") > done).mapInPandas(_judged(keys, groups, chosen, quota), "_o bigint, key string, family string, blockers array<string>, decision string").where("decision = 'selected'")
+        got = left.orderBy("_o").limit(chunk).collect()
+        for r in got:
+            own = set(r["blockers"])
+            if r["key"] in keys or own & groups.keys() or len(chosen.get(r["family"], ())) >= quota:
+                continue
+            keys[r["key"]] = r["_o"]
+            groups.update({g: r["_o"] for g in own if g not in groups})
+            chosen.setdefault(r["family"], []).append(r["_o"])
+        if len(got) < chunk:
+            break
+        done = got[-1]["_o"]
+    return rows.mapInPandas(_judged(keys, groups, chosen, quota), "_o bigint, key string, family string, blockers array<string>, decision string").select("key", "family", "decision")
+
+
+def _judged(keys: dict, groups: dict, chosen: dict, quota: int):  # noqa: ANN202
+    """Each row's decision by what was chosen before its place."""
+    keys, groups, full = dict(keys), dict(groups), {f: places[quota - 1] for f, places in chosen.items() if quota and len(places) >= quota}
+    own_places = {p for places in chosen.values() for p in places}
+
+    def decide(o, k, f, bs) -> str:  # noqa: ANN001
+        if o in own_places:
+            return "selected"
+        if keys.get(k, o) < o:
+            return "duplicate_key"
+        if any(groups.get(b, o) < o for b in bs):
+            return "blocked"
+        return "quota_reached" if quota <= 0 or full.get(f, o) < o else "selected"
 
     def run(batches):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        held = list(batches)
-        if not held:
-            return
-        keys, groups, full = set(), set(), {}
-        out = []
-        for r in pd.concat(held).sort_values("_o").itertuples():
-            own = set() if r.blockers is None else set(r.blockers)
-            d = "duplicate_key" if r.key in keys else "blocked" if own & groups else "quota_reached" if full.get(r.family, 0) >= quota else "selected"
-            if d == "selected":
-                keys.add(r.key)
-                groups |= own
-                full[r.family] = full.get(r.family, 0) + 1
-            out.append((r.key, r.family, d))
-        yield pd.DataFrame(out, columns=["key", "family", "decision"])
-
-    return rows.coalesce(1).mapInPandas(run, "key string, family string, decision string")
+        for b in batches:
+            yield b.assign(decision=[decide(*x) for x in zip(b["_o"], b["key"], b["family"], b["blockers"], strict=True)])
+
+    return run
+
+
+def object_key_counts(df: DataFrame, json: str, name: str) -> DataFrame:
+    """(value, rows): how often each value of a key occurs among the objects of JSON arrays; text that is no array of objects has none, an object without the key counts as null."""
+    items = F.try_variant_get(F.try_parse_json(json), "$", "array<variant>")
+    item = df.select(F.explode(items).alias("item")).where(F.schema_of_variant("item").startswith("OBJECT"))
+    return item.select(shown(F.try_variant_get("item", f"$.{name}", "string")).alias("value")).groupBy("value").agg(F.count("*").alias("rows"))
+
+
+def case_numbers(df: DataFrame, family: str, *order: Column, prefix: str = "scene-case") -> DataFrame:
+    """`df` with `case_id` (prefix, family, two-digit place in it) and `rank` over all; for the chosen few of `greedy_quota`."""
+    in_family = F.row_number().over(Window.partitionBy(family).orderBy(*order))
+    return numbered(df.withColumn("case_id", F.concat_ws("-", F.lit(prefix), family, F.lpad(in_family.cast("string"), 2, "0"))), *order, name="rank")
+
+
+def group_memberships(selected: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """(key, group_type, fingerprint): which groups (group_type, fingerprint, key) a selected key belongs to; keys without a group have one row with nulls."""
+    return selected.select(key).distinct().join(groups.select(key, "group_type", "fingerprint").distinct(), key, "left")

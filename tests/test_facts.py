@@ -89,3 +89,32 @@ def test_same_twice(spark):
 
     run = lambda d: table_digest(E.extract_facts(E.distinct_texts(d, "prompt_sha256", "prompt_text"), "prompt_sha256", "prompt_text")).first()
     assert run(df) == run(df.unionByName(df).repartition(3).withColumn("x", F.rand()).drop("x"))
+
+
+def test_second_sign_needs_an_edge(spark):
+    assert [x["value"] for x in of(facts(spark, "Output 5秒 and 7秒钟"), "declared_duration")] == ['{"approximate":false,"seconds":5.0}']
+
+
+def test_equal_facts_once_and_nulls(spark):
+    t = spark.createDataFrame([("a", "no cuts, no cut"), ("b", None), (None, "no cuts")], "k string, t string")
+    got = E.extract_facts(t, "k", "t").collect()
+    assert sorted((str(r["k"]), r["ordinal"], r["start"]) for r in got) == [("None", 0, 0), ("a", 0, 0), ("a", 1, 9)]
+
+
+def test_failures_stay_with_their_text(spark):
+    def words(t):
+        if "bad" in t:
+            raise ValueError(t)
+        return [(w, len(w)) for w in t.split()]
+
+    t = spark.createDataFrame([("a", "x yy"), ("b", "one bad"), ("c", None), ("d", "")], "k string, t string")
+    rows, failed = E.safely(t, "k", "t", words, "word string, n int")
+    assert sorted(tuple(r) for r in rows.collect()) == [("a", 0, "x", 1), ("a", 1, "yy", 2)]
+    assert sorted(tuple(r) for r in failed.collect()) == [("b", "parser_exception", "ValueError"), ("c", "parser_exception", "TypeError")]
+
+
+def test_json_setting_issues(spark):
+    t = spark.createDataFrame([("a", '{"duration":"eight","model":"m"}'), ("b", '{"dur\\u0061tion":8}'), ("c", '{"model":null,"mode":"x","duration":1}')], "k string, t string")
+    f = E.extract_facts(t, "k", "t")
+    i = E.issues(t, E.structure(t, f, "k"), f, "k", "t")
+    assert {(r["k"], r["code"]) for r in i.collect()} == {("a", "unsupported_json_setting_value"), ("b", "json_field_span_not_found")}

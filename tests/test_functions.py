@@ -79,5 +79,31 @@ def test_digests(spark):
     b = a.orderBy(F.col("k").desc())
     assert hashing.table_digest(a).first() == hashing.table_digest(b).first()
     assert hashing.table_digest(a).first() != hashing.table_digest(a.distinct()).first()
-    assert hashing.ordered_digest(a, ["k"], ["k", "v"]).first() == hashing.ordered_digest(b, ["k"], ["k", "v"]).first()
+    assert hashing.ordered_digest(a, "k", ["k", "v"]).first() == hashing.ordered_digest(b, "k", ["k", "v"]).first()
+    n = spark.createDataFrame([(None, "a"), ("", "a")], "k string, v string"), spark.createDataFrame([("a", None), ("a", "")], "k string, v string")
+    assert hashing.table_digest(n[0]).first() != hashing.table_digest(n[1]).first()
     assert a.select(hashing.canonical("v", "k").alias("j")).first()["j"] == '{"k":1,"v":"x"}'
+
+
+def test_folding_and_urls(spark):
+    from urllib.parse import urljoin, urlsplit
+
+    words = ["Straße", "STRASSE", "ΣΊΣΥΦΟΣ", "σίσυφος", "ﬁn", "ı", "I", "İ", "ǅ", "ẞ", "µ", "K", "ſ", "ΐ"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert [r[0] for r in df.select(T.fold("w")).collect()] == [w.casefold() for w in words]
+    base = "https://h.test:8/a/b/c?x=1#f"
+    paths = ["/p", "q", "../r/s", "./t?y=/../", "//o.test/z", "https://k.test/", "?n=2", "#g", "", "..", "../../../u", "mailto:x@y", "v/./w/"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(T.join_url(base, "p")).collect()] == [urljoin(base, p) if p else base.split("#")[0] for p in paths]
+    urls = ["https://a.h.test/x", "http://h.test", "https://user@H.TEST:1/", "https://xh.test/", "h.test", "https://o/?u=https://h.test"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    host = lambda u: urlsplit(u).hostname or ""
+    assert [r[0] for r in df.select(T.host_is("u", "h.test")).collect()] == [host(u) == "h.test" or host(u).endswith(".h.test") for u in urls]
+    assert [r[0] for r in spark.createDataFrame([("https://x/a.PNG?z",), ("https://x/png",)], "u string").select(T.is_media("u")).collect()] == [True, False]
+
+
+def test_keys(spark):
+    from corpuslathe.functions.keys import key
+
+    rows = [("\u00a0 Ab\t\u3000", "ab"), ("  ", None), ("", None), (None, None), ("x y", "x y")]
+    assert all(r["k"] == r["want"] for r in spark.createDataFrame(rows, "v string, want string").select("want", key("v").alias("k")).collect())

@@ -1,3 +1,6 @@
+import collections
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,10 +54,45 @@ def test_sample_is_stable(spark):
 
 def test_greedy(spark):
     df = spark.createDataFrame([("a", "f", ["g"], 9), ("b", "f", ["g"], 8), ("c", "f", None, 7), ("d", "f", [], 6), ("a", "f", [], 5), ("e", "h", ["g2"], 1)], "k string, fam string, b array<string>, score int")
-    got = [tuple(r)[::2] for r in R.greedy_quota(df, "k", "fam", "b", 2, F.col("score").desc(), F.col("k")).collect()]
-    assert got == [("a", "selected"), ("b", "blocked"), ("c", "selected"), ("d", "quota_reached"), ("a", "duplicate_key"), ("e", "selected")]
-    with pytest.raises(ValueError, match="candidates"):
-        R.greedy_quota(df, "k", "fam", "b", 2, F.col("score"), most=3)
+    want = sorted([("a", "selected"), ("b", "blocked"), ("c", "selected"), ("d", "quota_reached"), ("a", "duplicate_key"), ("e", "selected")])
+    for chunk in (1, 2, 20_000):
+        assert sorted(tuple(r)[::2] for r in R.greedy_quota(df, "k", "fam", "b", 2, F.col("score").desc(), F.col("k"), chunk=chunk).collect()) == want
+
+
+def test_greedy_against_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(i, f"k{rng.randrange(60)}", f"f{rng.randrange(4)}", [f"g{rng.randrange(40)}" for _ in range(rng.randrange(3))]) for i in range(300)]
+    keys, groups, n, want = set(), set(), collections.Counter(), []
+    for _, k, f, bs in rows:
+        d = "duplicate_key" if k in keys else "blocked" if set(bs) & groups else "quota_reached" if n[f] >= 5 else "selected"
+        if d == "selected":
+            keys.add(k)
+            groups |= set(bs)
+            n[f] += 1
+        want.append((k, f, d))
+    df = spark.createDataFrame(rows, "i int, k string, f string, b array<string>").repartition(7)
+    got = [tuple(r) for r in R.greedy_quota(df, "k", "f", "b", 5, F.col("i"), chunk=4).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_running_and_members(spark):
+    df = spark.createDataFrame([(i, i % 5) for i in range(500)], "i int, n int").repartition(9)
+    run, total = R.running(df, [F.col("i")], F.col("n"))
+    got = {r["i"]: r["upto"] for r in run.collect()}
+    assert total == 1000 and all(got[i] == sum(j % 5 for j in range(i + 1)) for i in range(500))
+    m = R.numbered_members(spark.createDataFrame([("x", f"{i:03d}") for i in range(200)] * 2 + [("y", "b"), ("y", "a"), (None, "c")], "g string, m string"), "g", "m")
+    assert {(r["g"], r["m"]): r["ordinal"] for r in m.collect()} == {**{("x", f"{i:03d}"): i for i in range(200)}, ("y", "a"): 0, ("y", "b"): 1}
+    assert R.numbered(df.limit(0), F.col("i")).count() == 0 and R.nearest_index_percentiles(df.limit(0), "i", [0.5]).count() == 0
+
+
+def test_small_operators(spark):
+    j = spark.createDataFrame([('[{"a":1},{"b":2},{"a":"x"}]',), ("{}",), ("no",), (None,), ('[1, {"a":1}]',)], "j string")
+    assert {r["value"]: r["rows"] for r in R.object_key_counts(j, "j", "a").collect()} == {"1": 2, "<null>": 1, "x": 1}
+    c = spark.createDataFrame([("p", "f"), ("q", "f"), ("r", "g")], "k string, fam string")
+    assert [tuple(r)[2:] for r in R.case_numbers(c, "fam", F.col("fam"), F.col("k")).orderBy("rank").collect()] == [("scene-case-f-01", 1), ("scene-case-f-02", 2), ("scene-case-g-01", 3)]
+    assert R.member_counts(spark.createDataFrame([(["a", "a"],), (["b", "a"],), (None,)], "x array<string>"), "x").orderBy("value").collect() == [("a", 2), ("b", 1)]
+    g = spark.createDataFrame([("p", "format", "1"), ("p", "format", "1"), ("p", "numeric", "2")], "k string, group_type string, fingerprint string")
+    assert sorted(map(str, (tuple(r) for r in R.group_memberships(c.select("k"), g, "k").collect()))) == sorted(map(str, [("p", "format", "1"), ("p", "numeric", "2"), ("q", None, None), ("r", None, None)]))
 
 
 def test_families(spark):
@@ -88,8 +126,26 @@ def test_contracts(spark):
     assert [r["k"] for r in C.unsorted_sets(s, "k", "a").collect()] == ["k"]
     sig = spark.createDataFrame([(["x", "b", "a"],), (["skip"],), ([],)], "s array<string>")
     assert [tuple(r["r"]) for r in sig.select(C.retrieval("s", ["a", "b"], "skip").alias("r")).collect()] == [(True, "a"), (False, "skip"), (False, "no_retrieval_trigger")]
-    leak = spark.createDataFrame([("see https://x @cam 5 s <Video 1>",)], "t string").select(C.leaks("t", ("<Video 1>",)).alias("l")).first()["l"]
-    assert leak == ["url", "at_tag", "duration", "token:<Video 1>"]
+    leak = spark.createDataFrame([("see https://x @cam 5 s <Video 1>",)], "t string").select(C.leaks("t", F.lit("seedance")).alias("l"), C.leaks("t", F.lit("h3")).alias("m")).first()
+    assert leak["l"] == ["media_url", "historical_at_tag", "historical_duration", "h3_syntax:<Video 1>"] and leak["m"] == leak["l"][:3]
+
+
+def test_leaves_and_handoffs(spark):
+    deep = "[" * 200 + '"x"' + "]" * 200
+    d = spark.createDataFrame([(1, '{"task_id":"https://a","b":{"c":["u", 1, {"d":"Context-IR"}]}}', "seedance"), (2, "no", "h3"), (3, None, "h3"), (4, '["at 5 s", "@source_tag"]', "h3"), (5, deep, "h3")], "k int, doc string, target string")
+    got = {(r["key"], r["path"]): r["value"] for r in C.string_leaves(d, "k", "doc").collect()}
+    assert {k: v for k, v in got.items() if k[0] < 5} == {(1, "$.task_id"): "https://a", (1, "$.b.c[0]"): "u", (1, "$.b.c[2].d"): "Context-IR", (4, "$[0]"): "at 5 s", (4, "$[1]"): "@source_tag"} and len(got) == 6
+    assert {tuple(r) for r in C.handoff_faults(d, "k", "doc", "target").collect()} == {(1, "h3_syntax:Context-IR"), (4, "historical_duration"), (4, "historical_at_tag"), (4, "seedance_syntax:@source_tag")}
+    s = spark.createDataFrame([([" a", "b"], ["b ", "a", "c"]), (None, ["x"])], "x array<string>, y array<string>")
+    assert [r[0] for r in s.select(C.shared_fragments("x", "y")).collect()] == [["a", "b"], []]
+    assert C.forbidden_columns(spark.createDataFrame([], "a int, s struct<asset_count:int, x:array<struct<word_frequency:int>>>"), ("frequency", "asset_count")) == ["s.asset_count", "s.x[].word_frequency"]
+    dec = spark.createDataFrame([("k", "f", 0), ("k", "f", 1), ("k", "g", None)], "k string, field string, evidence_ordinal int")
+    ev = spark.createDataFrame([("k", "f", 0)], "k string, field string, ordinal int")
+    assert {(r["field"], r["evidence_ordinal"]) for r in C.unlinked_decisions(dec, ev, "k").collect()} == {("f", 1), ("g", None)}
+    m = spark.createDataFrame([("k", "a"), ("k", "b"), ("l", "a")], "k string, m string")
+    assert [tuple(r) for r in C.missing_members(m, "k", "m", ["b", "a"]).collect()] == [("l", ["b"])]
+    r = spark.createDataFrame([("c", True), ("c", False), ("e", True)], "check string, passed boolean")
+    assert {tuple(x) for x in C.check_counters(r).collect()} == {("c", 2, 1, 1), ("e", 1, 1, 0)}
 
 
 def test_schema_validator(spark):
