@@ -40,7 +40,7 @@ def fold(c: Column | str) -> Column:
     one = {a: b for a, b in _FOLDS.items() if len(b) == 1}
     several = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _FOLDS.items() if len(b) > 1))
     full = F.aggregate(several, F.translate(v, "".join(one), "".join(one.values())), lambda s, p: F.replace(s, p["a"], p["b"]))
-    return F.lower(F.when(v.rlike(f"[{''.join(_FOLDS)}]"), full).otherwise(v))
+    return F.replace(F.lower(F.when(v.rlike(f"[{''.join(_FOLDS)}]"), full).otherwise(v)), F.lit("ς"), F.lit("σ"))  # lower case makes final sigmas
 
 
 def format_normalize(c: Column | str) -> Column:

@@ -30,20 +30,23 @@ _IMPLICIT = r"(?iU)\b(?:reference\s+image|uploaded\s+image)\b"
 
 
 def field_candidates(segments: Column, words: str, most: int, stems: bool = True) -> tuple[Column, Column]:
-    """(kept segments, whether some were left out): those with one of the words, each text once, at most `most` spread from first to last."""
+    """(kept segments (text, start, end, folded), whether some were left out): those with one of the words, each text once, at most `most` spread from first to last."""
     end = r"\w*\b" if stems else r"\b"
     hit = F.filter(segments, lambda s: s["text"].rlike(rf"(?iU)\b(?:{words}){end}"))
-    first = lambda h: F.filter(h["a"], lambda s, i: F.array_position(h["folded"], T.fold(s["text"])) == i + 1)
-    once = T.let(first, a=hit, folded=F.transform(hit, lambda s: T.fold(s["text"])))
+    first = lambda h: F.filter(h["a"], lambda s, i: F.array_position(h["folded"], s["folded"]) == i + 1)
+    once = T.let(first, a=hit, folded=F.transform(hit, lambda s: s["folded"]))
     return N.spread(once, most), F.size(once) > most
 
 
 def neutral_fields(texts: DataFrame, key: str, text: str, fields: dict[str, tuple[int, str, bool]] = FIELDS) -> DataFrame:
     """(key, field, segments, compressed): per text and field what was kept (text, start, end), in order of the text. Null texts have no rows."""
-    seg = texts.where(F.col(text).isNotNull()).select(key, F.explode(F.array(F.struct(T.segments(text).alias("s")))).alias("x")).select(key, "x.s")
+    seg = texts.where(F.col(text).isNotNull()).select(key, F.explode(F.array(F.struct(T.segments(text).alias("s")))).alias("x"))
+    fold = lambda s: F.struct(s["text"].alias("text"), s["start"].alias("start"), s["end"].alias("end"), T.fold(s["text"]).alias("folded"))
+    seg = seg.select(key, F.explode(F.array(F.struct(F.transform("x.s", fold).alias("s")))).alias("x")).select(key, "x.s")  # once for all fields
     per = []
     for name, (most, words, stems) in fields.items():
         kept, more = field_candidates(F.col("s"), words, most, stems)
+        kept = F.transform(kept, lambda s: s.dropFields("folded"))
         per.append(F.struct(F.lit(name).alias("field"), kept.alias("segments"), more.alias("compressed")))
     return seg.select(key, F.explode(F.array(*per)).alias("f")).select(key, "f.field", "f.segments", "f.compressed")
 
