@@ -4,8 +4,8 @@ Every node starts as a link to its parent that weighs one step and one name. Par
 of links they hold with a weighted disjoint-set forest: a node that hung below `top` by some steps
 then hangs below the root of its chain in that partition, by the sum of the steps and with the names joined.
 Only nodes that others still hang below go to the next level, into fewer partitions, until one partition
-holds what is left and finds roots and loops. What is left may also stay too large for one task; then
-pointer doubling (a join of the links with themselves, halving the chains each round) ends the work instead.
+holds what is left and finds roots and loops. No task is given more than `one_task_rows` links: what stays larger and no longer shrinks is solved by
+pointer doubling (a join of the links with themselves, halving the chains each round).
 On the way down each level finds its nodes' roots by one join on `top`.
 """
 
@@ -54,26 +54,26 @@ def resolve_hierarchy(
         F.col("k").alias("ids"),
         F.lit(0).alias("loop"),
     )
-    levels, n = [], one.count()
+    levels, n, before = [], one.count(), None
+    rows_per_task = min(rows_per_task, one_task_rows)
     while True:
-        parts = max(1, -(-n // rows_per_task))
-        last = parts == 1
-        if n > one_task_rows and (last or levels and n > 0.7 * levels[-1][1]):
-            levels.append((_doubled(links, n), n))
+        last = n <= rows_per_task or n <= one_task_rows and before is not None and n > 0.7 * before
+        if not last and before is not None and n > 0.7 * before:  # it hardly shrinks, and is too large for a task
+            levels.append(_doubled(links, n))
             break
-        local = links.repartition(parts, "k").mapInPandas(_shorten(last), _LINK)
-        local = materialize(local, "links")
-        levels.append((local, n))
+        # hashing spreads rows unevenly, so a task is given half of what it may hold
+        parts = 1 if last else -(-2 * n // rows_per_task)
+        local = materialize(links.repartition(parts, "k").mapInPandas(_shorten(last), _LINK), "links")
+        levels.append(local)
         if last:
             break
         tops = local.where("top is not null").select(F.col("top").alias("k")).distinct()
-        links = local.join(tops, "k", "left_semi")
-        links = materialize(links, "skeleton")
-        rows_per_task, n = max(rows_per_task, min(rows_per_task * 4, one_task_rows)), links.count()
+        links = materialize(local.join(tops, "k", "left_semi"), "skeleton")
+        rows_per_task, before, n = min(rows_per_task * 4, one_task_rows), n, links.count()
         if n == 0:
             break
-    done = levels[-1][0]
-    for local, _ in reversed(levels[:-1]):
+    done = levels[-1]
+    for local in reversed(levels[:-1]):
         up = done.select(F.col("k").alias("top"), F.col("base").alias("u_base"), F.col("dist").alias("u_dist"), F.col("names").alias("u_names"), F.col("ids").alias("u_ids"), F.col("loop").alias("u_loop"))
         # a node that went up itself was solved there; its own row below still points to its top and gives the same
         done = local.join(up, "top", "left").select(

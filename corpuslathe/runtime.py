@@ -12,12 +12,16 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN = uuid.uuid4().hex[:12]
 _own: str | None = None
+#: Paths of the tables written so far.
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,14 +46,36 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):  # noqa: ANN202
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
 def clean(spark: SparkSession) -> None:
-    """Removes this run's intermediate tables; results not yet written can't be read afterwards."""
-    jvm, path = spark._jvm, shared_folder(spark)
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    """Removes this run's intermediate tables; results not yet written can't be read afterwards. Registered queries leave it to `cleaning`."""
+    p, fs = _path(spark, shared_folder(spark))
+    fs.delete(p, True)
+
+
+@contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """Removes at the end what was materialized within, also after a failure; write the result inside the block."""
+    held = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > held:
+            p, fs = _path(spark, _written.pop())
+            fs.delete(p, True)
 
 
 def count_up_to(df: DataFrame, limit: int) -> int:

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from corpuslathe.operators.relational import first_wins, repeats
+from corpuslathe.runtime import exists
 from corpuslathe.sources.pages import parse_items, read_pages, with_page
 
 TABLES = ("pages", "prompts", "assets", "memberships", "occurrences", "issues")
@@ -21,10 +21,10 @@ TABLES = ("pages", "prompts", "assets", "memberships", "occurrences", "issues")
 
 def earlier(spark: SparkSession, root: str, table: str, batch: int, like: DataFrame) -> DataFrame:
     """Rows of a table from batches before this one."""
-    try:
-        return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}").where(F.col("batch") < batch).select(*like.columns)
-    except AnalysisException:  # nothing written yet
+    folder = f"{root}/{table}"
+    if not exists(spark, folder):
         return like.limit(0)
+    return spark.read.option("basePath", folder).parquet(folder).where(F.col("batch") < batch).select(*like.columns)
 
 
 def split_batch(pages: DataFrame) -> dict[str, DataFrame]:
@@ -76,9 +76,16 @@ def commit_batch(root: str) -> Callable[[DataFrame, int], None]:
 def ingest(spark: SparkSession, pages_path: str, root: str, checkpoint: str, max_files: int | None = None) -> int:
     """Takes in all pages that have landed since the last time; returns the number of batches. Run again, it does nothing."""
     stream = read_pages(spark, pages_path, stream=True, max_files=max_files)
-    q = stream.writeStream.foreachBatch(commit_batch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    done: set[int] = set()
+    commit = commit_batch(root)
+
+    def counted(pages: DataFrame, batch: int) -> None:
+        commit(pages, batch)
+        done.add(batch)
+
+    q = stream.writeStream.foreachBatch(counted).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return len([p for p in q.recentProgress if p["numInputRows"] > 0])
+    return len(done)
 
 
 def corpus(spark: SparkSession, root: str) -> dict[str, DataFrame]:

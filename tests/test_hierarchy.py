@@ -101,3 +101,29 @@ def test_no_task_above_its_bound(spark, monkeypatch):
     data = [(f"c{i}", f"c{i - 1}" if i else None, f"x{i}") for i in range(60)]
     got = {r["node"]: (r["root"], r["depth"], r["path"], r["in_loop"], r["on_loop"]) for r in H.resolve_hierarchy(rows(spark, data), rows_per_task=1000, one_task_rows=20).collect()}
     assert got == brute(data) and True not in lasts
+
+
+@pytest.mark.parametrize("shape", ["binary", "chain", "random"])
+def test_no_task_holds_more_than_its_bound(spark, shape, tmp_path, monkeypatch):
+    n, r = 1500, random.Random(2)
+    up = {"binary": lambda i: (i - 1) // 2, "chain": lambda i: i - 1, "random": lambda i: r.randrange(i)}[shape]
+    data = [(f"f{i}", f"f{up(i)}" if i else None, f"n{i}") for i in range(n)]
+    real = H._shorten
+
+    def counted(last):
+        inner, folder = real(last), str(tmp_path)
+
+        def run(batches):
+            import uuid
+
+            held = list(batches)
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(sum(map(len, held))))
+            yield from inner(iter(held))
+
+        return run
+
+    monkeypatch.setattr(H, "_shorten", counted)
+    got = {x["node"]: (x["root"], x["depth"], x["path"], x["in_loop"], x["on_loop"]) for x in H.resolve_hierarchy(rows(spark, data), rows_per_task=10, one_task_rows=60).collect()}
+    assert got == brute(data)
+    assert max(int(p.read_text()) for p in tmp_path.iterdir()) <= 60
