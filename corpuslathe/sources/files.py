@@ -21,6 +21,13 @@ def json_objects(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("path", F.when(ok, F.col("doc")).alias("doc"), F.when(F.col("doc").isNull(), "not_json").when(~ok, "not_object").alias("fault"))
 
 
+def event_faults(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_number, fault) of event files: lines that are no JSON object or have no code, with their number from 1. Blank lines are none. Event files are split by file here."""
+    n = numbered_lines(spark, path).where(F.length(T.strip("line")) > 0).withColumn("v", F.try_parse_json("line"))
+    fault = F.when(~F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)), "event_log_parse_error").when(F.try_variant_get("v", "$.code", "string").isNull(), "no_code")
+    return n.select("path", F.col("number").alias("line_number"), fault.alias("fault")).where("fault is not null")
+
+
 def events(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """(at, level, code, line, fault) of files with a JSON object a line; bad lines stay as rows with a fault."""
     r = spark.readStream if stream else spark.read

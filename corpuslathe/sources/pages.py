@@ -5,7 +5,7 @@ A page is read as text and parsed as a variant, so that items of any shape, or p
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslathe.functions import text as T
@@ -98,20 +98,23 @@ def in_page_faults(records: DataFrame, folder: str) -> DataFrame:
     return r.select("page_number", "item_index", F.explode(codes).alias("code"))
 
 
-def cursor_faults(pages: DataFrame) -> DataFrame:
-    """(page_number, fault) of pages (page_number, requested_cursor, next_cursor, items): a cursor that isn't the one before's next, came before, or stands on an empty page."""
+def cursor_faults(pages: DataFrame, *group: str) -> DataFrame:
+    """(group, page_number, fault) of pages (group, page_number, requested_cursor, next_cursor, items): a cursor that isn't the one before's next, came before, or stands on an empty page.
+
+    group: columns that tell one listing from another, each with pages from 1.
+    """
     from pyspark.sql import Window
 
     # each page meets its predecessor by its number, not by ordering all pages in a task
-    p = pages.select("page_number", "requested_cursor", "next_cursor", F.size("items").alias("n"))
-    before = p.select((F.col("page_number") + 1).alias("page_number"), F.col("next_cursor").alias("expected"), F.lit(True).alias("_has"))
-    again = F.row_number().over(Window.partitionBy("next_cursor").orderBy("page_number")) > 1
-    q = p.join(before, "page_number", "left").withColumn("again", F.col("next_cursor").isNotNull() & again)
+    p = pages.select(*group, "page_number", "requested_cursor", "next_cursor", F.size("items").alias("n"))
+    before = p.select(*group, (F.col("page_number") + 1).alias("page_number"), F.col("next_cursor").alias("expected"), F.lit(True).alias("_has"))
+    again = F.row_number().over(Window.partitionBy(*group, "next_cursor").orderBy("page_number")) > 1
+    q = p.join(before, [*group, "page_number"], "left").withColumn("again", F.col("next_cursor").isNotNull() & again)
     fault = (
         F.when((F.col("page_number") > 1) & F.col("_has").isNull(), "page_missing").when((F.col("page_number") > 1) & ~F.col("requested_cursor").eqNullSafe(F.col("expected")), "cursor_mismatch")
         .when(F.col("again") | (F.col("next_cursor").isNotNull() & F.col("next_cursor").eqNullSafe(F.col("requested_cursor"))), "repeated_cursor").when((F.col("n") == 0) & F.col("next_cursor").isNotNull(), "empty_page_with_cursor")
     )
-    return q.select("page_number", fault.alias("fault")).where("fault is not null")
+    return q.select(*group, "page_number", fault.alias("fault")).where("fault is not null")
 
 
 def sanitized_folders(docs: DataFrame, raw: str = "raw") -> DataFrame:
@@ -129,5 +132,41 @@ def sanitized_folders(docs: DataFrame, raw: str = "raw") -> DataFrame:
     return d.select(fault.alias("fault"), get("$.id", "string").alias("folder_id"), get("$.parent_id", "string").alias("parent_id"), get("$.name", "string").alias("name"), get("$.path", "string").alias("path"), get("$.count", "bigint").alias("reported_asset_count"), get("$.subfolders_count", "bigint").alias("reported_subfolders_count"))
 
 
-def flag(condition: Column, code: str) -> Column:
-    return F.when(condition, F.lit(code))
+def folder_tree(children: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """(folders, faults) of all landed pages of children: (parent_id, page_number, requested_cursor, next_cursor, item_index, folder: struct of folder_id, parent_id, name, path, reported_asset_count, reported_subfolders_count).
+
+    A row without a folder (an empty page) has a null folder. folders: each folder below `root` once, as it was first listed, with parent, depth and path as its
+    links give them. faults (parent_id, folder_id, code): duplicate_folder_across_pages, conflicting_metadata, parent_mismatch, not_below_root,
+    public_child_count_mismatch, and the cursor faults of each parent's own pages. A listing may come in any order: what a queue would ask for next is what has subfolders and no page.
+    """
+    from pyspark.sql import Window
+
+    from corpuslathe.operators.hierarchy import resolve_hierarchy
+
+    rows = children.where("folder is not null").select(F.col("parent_id").alias("asked"), "page_number", "item_index", "folder.*")
+    again = rows.withColumn("n", F.row_number().over(Window.partitionBy("asked", "folder_id").orderBy("page_number", "item_index")))
+    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("folder_id").orderBy("page_number", "asked", "item_index"))).where("n = 1").drop("n", "page_number", "item_index")
+    body = F.struct("parent_id", "name", "path", "reported_asset_count", "reported_subfolders_count")
+    clash = rows.groupBy("folder_id").agg(F.count_distinct(F.to_json(body, {"ignoreNullFields": "false"})).alias("n"), F.min("asked").alias("parent_id")).where("n > 1")
+    tree = resolve_hierarchy(first.select("folder_id", "parent_id", "name"))
+    found = first.join(tree.select(F.col("node").alias("folder_id"), "root", "depth", F.col("path").alias("derived_path")), "folder_id")
+    below = found.where(F.col("root") == root.strip().lower())
+    listed = again.where("n = 1").groupBy(F.col("asked").alias("folder_id")).agg(F.count("*").alias("listed"))
+    ended = children.groupBy(F.col("parent_id").alias("folder_id")).agg(F.bool_or(F.col("next_cursor").isNull()).alias("ended"))
+    short = below.join(ended.where("ended"), "folder_id").join(listed, "folder_id", "left").where(F.coalesce("listed", F.lit(0)) != F.col("reported_subfolders_count"))
+    code = lambda df, parent, c: df.select(F.col(parent).alias("parent_id"), "folder_id", F.lit(c).alias("code"))
+    pages = children.groupBy("parent_id", "page_number").agg(F.first("requested_cursor").alias("requested_cursor"), F.first("next_cursor").alias("next_cursor"), F.collect_list("folder.folder_id").alias("items"))
+    cursors = cursor_faults(pages, "parent_id").select("parent_id", F.lit(None).cast("string").alias("folder_id"), F.col("fault").alias("code"))
+    faults = (
+        code(again.where("n > 1"), "asked", "duplicate_folder_across_pages").unionByName(code(clash, "parent_id", "conflicting_metadata"))
+        .unionByName(code(rows.where("not (asked <=> parent_id)"), "asked", "parent_mismatch")).unionByName(code(found.where(~F.col("root").eqNullSafe(root.strip().lower())), "parent_id", "not_below_root"))
+        .unionByName(code(short, "parent_id", "public_child_count_mismatch")).unionByName(cursors)
+    )
+    return below.drop("asked", "root"), faults.distinct()
+
+
+def pending_parents(folders: DataFrame, children: DataFrame, root: str) -> DataFrame:
+    """(folder_id) of parents that must still be asked: the root and folders with subfolders whose pages aren't there or don't end."""
+    ended = children.groupBy(F.col("parent_id").alias("folder_id")).agg(F.bool_or(F.col("next_cursor").isNull()).alias("ended")).where("ended").select("folder_id")
+    some = folders.where("reported_subfolders_count > 0").select("folder_id").union(folders.sparkSession.createDataFrame([(root,)], "folder_id string"))
+    return some.distinct().join(ended, "folder_id", "left_anti")

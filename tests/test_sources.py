@@ -114,3 +114,51 @@ def test_retries():
     with pytest.raises(urllib.error.HTTPError):
         api.fetch("http://h", opener=opener, sleep=waits.append)
     assert len(calls) == 4 and waits == [1.0, 2.0, 4.0]
+
+
+def test_sqlite(spark, tmp_path):
+    import sqlite3
+
+    from corpuslathe.sources import sqlite
+
+    path = str(tmp_path / "a.db")
+    con = sqlite3.connect(path)
+    con.executescript("CREATE TABLE p (k TEXT PRIMARY KEY, n INTEGER, x REAL, b BLOB); CREATE TABLE c (p TEXT REFERENCES p(k)); CREATE TABLE e (k TEXT)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?, ?)", [(f"k{i}", i, i / 2, b"z") for i in range(25)] + [("bad", "text", None, None)])
+    con.commit()
+    got = sqlite.read_table(spark, path, "p", rows_per_task=7)
+    assert got.dtypes == [("k", "string"), ("n", "bigint"), ("x", "double"), ("b", "binary")] and got.count() == 26
+    assert got.where("k = 'k3'").first()["x"] == 1.5 and got.where("k = 'bad'").first()["n"] is None
+    assert {r["name"]: r["rows"] for r in sqlite.row_counts(sqlite.read_tables(spark, path, ["p", "e"])).collect()} == {"p": 26, "e": 0}
+    with pytest.raises(ValueError, match="no table"):
+        sqlite.read_table(spark, path, "q")
+    con.execute("INSERT INTO c VALUES ('gone')")
+    con.commit()
+    con.close()
+    with pytest.raises(ValueError, match="foreign key"):
+        sqlite.read_table(spark, path, "p")
+
+
+def test_folder_tree(spark):
+    schema = "parent_id string, page_number int, requested_cursor string, next_cursor string, item_index int, folder struct<folder_id:string,parent_id:string,name:string,path:string,reported_asset_count:bigint,reported_subfolders_count:bigint>"
+    f = lambda i, p, subs=0: (i, p, i.upper(), None, 1, subs)
+    rows = [("r", 1, None, "str:2", 0, f("a", "r", 2)), ("r", 2, "str:2", None, 0, f("a", "r", 2)), ("r", 2, "str:2", None, 1, f("b", "r")), ("a", 1, None, None, 0, f("c", "a")), ("a", 1, None, None, 1, f("d", "x")), ("c", 1, None, "str:9", 0, None)]
+    df = spark.createDataFrame(rows, schema)
+    root = spark.createDataFrame([("0", 1, None, None, 0, f("r", None, 2))], schema)
+    folders, faults = pages.folder_tree(df.unionByName(root), "r")
+    got = {r["folder_id"]: (r["depth"], r["derived_path"]) for r in folders.collect()}
+    assert got == {"r": (0, "R"), "a": (1, "R/A"), "b": (1, "R/B"), "c": (2, "R/A/C")}
+    assert {(r["parent_id"], r["folder_id"], r["code"]) for r in faults.collect()} == {("r", "a", "duplicate_folder_across_pages"), ("a", "d", "parent_mismatch"), ("x", "d", "not_below_root"), ("0", "r", "parent_mismatch"), ("c", None, "empty_page_with_cursor")}
+    assert {r["folder_id"] for r in pages.pending_parents(folders, df, "r").collect()} == set()
+
+
+def test_event_faults_and_cleaning(spark, tmp_path):
+    from corpuslathe import runtime
+    from corpuslathe.sources import files
+
+    (tmp_path / "e.jsonl").write_text('{"code":"x"}\n\nbroken\n[1]\n{"at":"1"}\n')
+    assert {(r["line_number"], r["fault"]) for r in files.event_faults(spark, str(tmp_path)).collect()} == {(3, "event_log_parse_error"), (4, "event_log_parse_error"), (5, "no_code")}
+    with runtime.cleaning(spark):
+        path = runtime.materialize(spark.range(3), "t").inputFiles()[0].rsplit("/", 1)[0]
+        assert runtime.exists(spark, path)
+    assert not runtime.exists(spark, path)
