@@ -17,16 +17,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslathe.runtime import materialize
+from corpuslathe.runtime import count_up_to, materialize
 
 HOT_ROWS = 50_000
 SALTS = 32
 #: A group's pairs are made in blocks of about this many members on one side.
 BLOCK = 2_000
+BROADCAST_GROUPS = 50_000
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
 _PARTS = re.compile(r"\s*[\r\n\x0b\x0c\x85\u2028\u2029]+\s*|\s+\|\s+")
-_LABEL = re.compile(r"[\W_]*([^\W_][^:：]{0,60}?)[^:：\w]*[:：](?!(?<=\d.)\d)")
+#: A label is one phrase, however long: no sentence ends within it.
+_LABEL = re.compile(r"[\W_]*+([^\W_](?:[^:：.!?。！？]|[.!?](?!\s))*+)[:：](?!(?<=\d.)\d)")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -123,10 +125,14 @@ def format_groups(rows: DataFrame, id_col: str, text_col: str, hot_rows: int = H
 
 
 def pairs_within(members: DataFrame, group_col: str, id_col: str, block: int = BLOCK) -> DataFrame:
-    """All pairs (a, b) of distinct ids of one group, a < b; a large group's pairs are spread over tasks by blocks of its members."""
-    m = members.select(F.col(group_col).alias("g"), F.col(id_col).alias("id")).distinct()
-    sizes = m.groupBy("g").count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count")
-    m = m.join(sizes, "g")
+    """All pairs (a, b) of distinct ids of one group, a < b; a large group's pairs are spread over tasks by blocks of its members.
+
+    Which groups are large is known from partial counts; those few meet their members by broadcast, so no task ever holds such a group.
+    """
+    m = materialize(members.select(F.col(group_col).alias("g"), F.col(id_col).alias("id")).distinct(), "group_members")
+    large = m.groupBy("g").count().where(F.col("count") > block).select("g", F.ceil(F.col("count") / block).cast("int").alias("blocks"))  # at most rows / block
+    large = materialize(large, "large_groups")
+    m = m.join(F.broadcast(large) if count_up_to(large, BROADCAST_GROUPS) <= BROADCAST_GROUPS else large, "g", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     left = m.select("g", F.col("id").alias("a"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("blk"))
     right = m.select("g", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"))
     return left.join(right, ["g", "blk"]).where("a < b").select("a", "b")

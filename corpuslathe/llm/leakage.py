@@ -1,24 +1,30 @@
 """Passages of test items inside documents, literal up to a budget of word edits.
 
-A passage is `window` consecutive words of an item. Items are cut into pieces so short that every window holds budget + 1 whole
-ones; at most budget of them can be edited, so one stands in the document as it is. An automaton finds all pieces in
-one walk over a document's words, and Myers' bit-parallel distance over words verifies the windows around each hit.
+A passage is `window` consecutive words of an item. Items are cut into pieces so short that every window holds budget + 1 whole ones; at most budget of them can
+be edited, so one stands in the document as it is. Documents are walked once, however many items there are: the hashes of all pieces make one bitmap of bounded
+size, and where a document's words hash to a piece, the words around are joined with the pieces by the full hash. Myers' bit-parallel
+distance over words verifies each such alignment.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import ahocorasick
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslathe.llm.words import words
-from corpuslathe.runtime import materialize
+from corpuslathe.runtime import count_up_to, materialize
 
-#: Items go to the executors in blocks of so many, each a pass over the documents.
-ITEMS_PER_BLOCK = 20_000
+#: The bitmap has about 16 bits a piece, within these bounds (in powers of two): it never takes more than 16 MB; fuller, it lets more false hits through to the join.
+MIN_BITS, MAX_BITS = 16, 27
+#: Up to this many pieces are broadcast to the hits; beyond it both are shuffled, hits with a salt.
+BROADCAST_PIECES = 100_000
+SALTS = 16
+_CACHE_WORDS = 1_000_000
 
 
 def piece_length(window: int, budget: int) -> int:
@@ -51,118 +57,158 @@ def myers(pattern: list[int], text: list[int]) -> tuple[int, int]:
     return best, at
 
 
-class Matcher:
-    """The pieces of a block of items and the verification of what they hit."""
-
-    def __init__(self, items: list[tuple[object, str]], window: int, budget: int) -> None:
-        self.window, self.budget, self.size = window, budget, piece_length(window, budget)
-        if self.size < 1:
-            raise ValueError("the error budget is too large for the window")
-        self.vocabulary: dict[str, int] = {}
-        self.items: list[tuple[object, list[int]]] = []
-        pieces: dict[str, list[tuple[int, int]]] = {}
-        for key, text in items:
-            ws = words(text)
-            if len(ws) < window:
-                continue
-            self.items.append((key, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]))
-            for at in range(0, len(ws) - self.size + 1, self.size):
-                pieces.setdefault(f" {' '.join(ws[at : at + self.size])} ", []).append((len(self.items) - 1, at))
-        self.automaton = ahocorasick.Automaton()
-        for p, where in pieces.items():
-            self.automaton.add_word(p, (len(p), where))
-        if pieces:
-            self.automaton.make_automaton()
-        self.empty = not pieces
-
-    def scan(self, text: str | None) -> dict[object, tuple[int, int, int]]:
-        """Item key -> (distance, first word of the item's window, first word of the region in the document), the best of each."""
-        if self.empty or not text:
-            return {}
-        ws = words(text)
-        if len(ws) < self.size:
-            return {}
-        joined = f" {' '.join(ws)} "
-        hits = list(self.automaton.iter(joined))
-        if not hits:
-            return {}
-        starts, n = {}, 0
-        for i, w in enumerate(ws):
-            starts[n] = i
-            n += len(w) + 1
-        known = self.vocabulary
-        ids = [known.get(w, -1) for w in ws]
-        best: dict[object, tuple[int, int, int]] = {}
-        seen: set[tuple[int, int]] = set()
-        for end, (length, where) in hits:
-            q = starts[end - length + 1]
-            for item, p in where:
-                if (item, q - p) in seen:  # the same alignment was looked at from an earlier piece
+class _Hasher:
+    """64-bit hashes of the word sequences of a fixed length at each place of a text; a word's hash is kept between texts (up to a bound of memory)."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.known = size, {}
+        with np.errstate(over="ignore"):
+            self.mult = np.cumprod(np.full(size, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+    def words(self, ws: list[str]) -> np.ndarray:
+        known = self.known
+        if len(known) > _CACHE_WORDS:
+            known.clear()
+        new = {w for w in ws if w not in known}
+        known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+        return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
+
+    def places(self, hashed: np.ndarray) -> np.ndarray:
+        n = len(hashed) - self.size + 1
+        if n <= 0:
+            return np.empty(0, np.uint64)
+        with np.errstate(over="ignore"):
+            s = np.zeros(n, np.uint64)
+            for j in range(self.size):
+                s += hashed[j : j + n] * self.mult[j]
+            s ^= s >> np.uint64(31)
+            s *= np.uint64(0x94D049BB133111EB)
+            s ^= s >> np.uint64(29)
+        return s
+
+
+def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _pieces(window: int, size: int):  # noqa: ANN202
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        h = _Hasher(size)
+        for b in batches:
+            rows = []
+            for i, t in zip(b["i"], b["t"], strict=True):
+                ws = words(t)
+                if len(ws) < window:
                     continue
-                got = self._verify(item, p, q, ids)
-                if got is None:
+                hs = h.words(ws)
+                at = h.places(hs)
+                for p in range(0, len(ws) - size + 1, size):
+                    # the words of all windows that hold the piece; a word is its hash from here on
+                    first = max(0, p + size - window)
+                    rows.append((int(at[p].astype(np.int64)), i, p, first, hs[first : p + window].astype(np.int64).tobytes()))
+            yield pd.DataFrame(rows, columns=["h", "i", "p", "first", "around"])
+
+    return run
+
+
+def _hits(bitmap: np.ndarray, bits: int, window: int, size: int, budget: int):  # noqa: ANN202
+    """The places of documents (d, t) whose words hash to a piece, as far as the bitmap tells, with the words around."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        h = _Hasher(size)
+        reach = window - size + budget
+        for b in batches:
+            rows = []
+            for d, t in zip(b["d"], b["t"], strict=True):
+                ws = words(t)
+                if len(ws) < size:
                     continue
-                if got[0] == 0:
-                    seen.add((item, q - p))
-                key = self.items[item][0]
-                if key not in best or got < best[key]:
-                    best[key] = got
-        return best
-
-    def _verify(self, item: int, p: int, q: int, ids: list[int]) -> tuple[int, int, int] | None:
-        w, k = self.window, self.budget
-        own = self.items[item][1]
-        lo, hi = max(0, p + self.size - w), min(p, len(own) - w)
-        if lo > hi:
-            return None
-        left = max(0, q - (p - lo) - k)
-        region = ids[left : q + (hi + w - p) + k]
-        there = set(region)
-        have = [c in there for c in own[lo : hi + w]]
-        found, count = None, sum(have[: w - 1])
-        for s in range(lo, hi + 1):
-            count += have[s - lo + w - 1]
-            if count >= w - k:
-                a = max(0, q - (p - s) - k)
-                dist, end = myers(own[s : s + w], ids[a : q + (s + w - p) + k])
-                if dist <= k and (found is None or dist < found[0]):
-                    found = (dist, s, max(a, a + end - w))
-                    if dist == 0:
-                        break
-            count -= have[s - lo]
-        return found
-
-
-def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 15, budget: int = 2, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
+                hs = h.words(ws)
+                at = h.places(hs)
+                bit = _bit(at, bits)
+                for q in np.flatnonzero(bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
+                    first = max(0, q - reach)
+                    rows.append((int(at[q].astype(np.int64)), d, q, first, hs[first : q + size + reach].astype(np.int64).tobytes()))
+            if rows:
+                yield pd.DataFrame(rows, columns=["h", "d", "q", "left", "region"])
+
+    return run
+
+
+def _verified(window: int, budget: int, size: int):  # noqa: ANN202
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, d, p, first, around, q, left, region in zip(*(b[c] for c in ("item_id", "doc_id", "p", "first", "around", "q", "left", "region")), strict=True):
+                got = verify(np.frombuffer(around, np.int64).tolist(), first, p, np.frombuffer(region, np.int64).tolist(), left, q, window, budget, size)
+                if got is not None:
+                    rows.append((i, d, *got))
+            yield pd.DataFrame(rows, columns=["item_id", "doc_id", "distance", "item_word", "doc_word"])
+
+    return run
+
+
+def verify(around: list[int], first: int, p: int, region: list[int], left: int, q: int, window: int, budget: int, size: int) -> tuple[int, int, int] | None:
+    """(distance, first word of the item's window, first word in the document) of the best window that holds the piece at p, which stands at q in the document.
+
+    around: the item's words from `first` on; region: the document's words from `left` on.
+    """
+    lo, hi = max(0, p + size - window), min(p, first + len(around) - window)
+    if lo > hi:
+        return None
+    there = set(region[max(0, q - (p - lo) - budget - left) : q + (hi + window - p) + budget - left])
+    have = [c in there for c in around[lo - first : hi + window - first]]
+    found, count = None, sum(have[: window - 1])
+    for s in range(lo, hi + 1):
+        count += have[s - lo + window - 1]
+        if count >= window - budget:
+            a = max(0, q - (p - s) - budget)
+            dist, end = myers(around[s - first : s - first + window], region[a - left : q + (s + window - p) + budget - left])
+            if dist <= budget and (found is None or dist < found[0]):
+                found = (dist, s, max(a, a + end - window))
+                if dist == 0:
+                    break
+        count -= have[s - lo]
+    return found
+
+
+def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 15, budget: int = 2, broadcast_pieces: int = BROADCAST_PIECES, max_bits: int = MAX_BITS) -> DataFrame:
     """Distinct (item_id, doc_id, distance, item_word, doc_word): documents holding a window of an item within `budget` word edits.
 
     distance is the smallest over the item's windows, item_word and doc_word where that window begins (words from 0; doc_word
     exact for distance 0). Items of fewer words than the window, and null or empty texts on either side, match nothing.
-    Equal ids on several rows count as one each. Items are a query set: they go to the executors in blocks of a fixed number, so no
-    number of items can exceed a task. Documents are never split, sampled or cut.
+    Equal ids on several rows count as one each. Any number of items: documents are read once, and never split, sampled or cut. Words compare by 64-bit hashes.
     """
-    items = items.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null").distinct()
-    n = items.count()
-    blocks = max(1, -(-n // items_per_block))
-    numbered = materialize(items.withColumn("blk", F.pmod(F.xxhash64("i", "t"), F.lit(blocks))), "items") if blocks > 1 else items.withColumn("blk", F.lit(0))
+    size = piece_length(window, budget)
+    if size < 1:
+        raise ValueError("the error budget is too large for the window")
+    src = items.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null").distinct()
     docs = documents.select(F.col(doc_id).alias("d"), F.col(doc_text).cast("string").alias("t")).where("d is not null and t is not null")
-    i_type, d_type = items.schema["i"].dataType.simpleString(), docs.schema["d"].dataType.simpleString()
-    schema = f"item_id {i_type}, doc_id {d_type}, distance int, item_word int, doc_word int"
-    out = None
-    for b in range(blocks):
-        held = [(r["i"], r["t"]) for r in numbered.where(F.col("blk") == b).collect()]
-        part = docs.mapInPandas(_scan(held, window, budget), schema)
-        out = part if out is None else out.unionByName(part)
+    i_type, d_type = src.schema["i"].dataType.simpleString(), docs.schema["d"].dataType.simpleString()
+    pieces = materialize(src.mapInPandas(_pieces(window, size), f"h bigint, i {i_type}, p int, first int, around binary").distinct(), "pieces")
+    n = pieces.count()
+    bits = min(max(MIN_BITS, (16 * max(1, n)).bit_length()), max_bits)
+    hits = docs.mapInPandas(_hits(_bitmap(pieces, bits), bits, window, size, budget), f"h bigint, d {d_type}, q int, left int, region binary")
+    hits, pieces = hits.withColumnRenamed("d", "doc_id"), pieces.withColumnRenamed("i", "item_id")
+    if count_up_to(pieces, broadcast_pieces) <= broadcast_pieces:
+        both = hits.join(F.broadcast(pieces), "h")
+    else:  # one piece may stand in a third of all documents
+        salted = hits.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        both = salted.join(pieces.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "salt"]).drop("salt")
+    out = both.mapInPandas(_verified(window, budget, size), f"item_id {i_type}, doc_id {d_type}, distance int, item_word int, doc_word int")
     least = out.groupBy("item_id", "doc_id").agg(F.min(F.struct("distance", "item_word", "doc_word")).alias("m"))
     return least.select("item_id", "doc_id", "m.distance", "m.item_word", "m.doc_word")
 
 
-def _scan(held: list, window: int, budget: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = Matcher(held, window, budget)
-        for b in batches:
-            rows = [(i, d, *v) for d, t in zip(b["d"], b["t"], strict=True) for i, v in m.scan(t).items()]
-            if rows:
-                yield pd.DataFrame(rows, columns=["item_id", "doc_id", "distance", "item_word", "doc_word"])
-
-    return run
+def _bitmap(pieces: DataFrame, bits: int) -> np.ndarray:
+    """The first `bits` bits of all pieces' hashes as a bitmap; 4 KB for each 32,768 numbers reach the driver, 16 MB at most."""
+    out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
+    number = F.shiftrightunsigned("h", 64 - bits)
+    got = pieces.select(number.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    for r in got.collect():
+        # buckets hold the numbers from 1 on: number b stands in bucket b / 32768 + 1 at (b - 1) mod 32768
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32_768 + 1
+        if r["bucket"] == 0:
+            at = np.zeros(1, np.int64)
+        np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return out

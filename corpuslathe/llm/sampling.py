@@ -10,6 +10,7 @@ partitions and fly again; the landing phase decides the last ones. The report co
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,10 @@ from pyspark.sql import functions as F
 
 from corpuslathe.runtime import materialize, small_rows
 
-MAX_TARGETS = 10_000
-#: Up to this many category combinations the calibration runs at the driver; beyond it each round is a Spark aggregation.
+#: Up to this many category combinations the calibration runs at the driver; beyond it the same steps are Spark aggregations.
 LOCAL_CELLS = 50_000
-ROUNDS = 200
+#: Rounds of the calibration, which ends earlier where the goals are met or nothing moves any more, and corrections of the total within a round.
+ROUNDS, CORRECTIONS = 200, 30
 
 
 def _members(text: str | None) -> list[str]:
@@ -108,10 +109,10 @@ def calibrate(cells: DataFrame, goal: np.ndarray, total: float, least: np.ndarra
     aim = np.append(goal, total)
     m = np.zeros(k + 1)
     m[k] = np.log(max(total, 1e-9)) - np.log(max(1.0, sums(weigh(m))[k])) if total else -50.0
-    for _ in range(ROUNDS if rows is not None else 40):
-        off = 0.0
+    for _ in range(ROUNDS):
+        off, before = 0.0, m.copy()
         # goals that can't all hold pull against each other; the total has the last word in each round
-        for part in (*([np.arange(k)] if k else []), *([np.array([k])] * (30 if rows is not None else 3))):
+        for part in (*([np.arange(k)] if k else []), *([np.array([k])] * CORRECTIONS)):
             now = sums(weigh(m))[part]
             ok = (now > 1e-9) & (aim[part] > 0)
             step = np.zeros(len(part))
@@ -124,7 +125,7 @@ def calibrate(cells: DataFrame, goal: np.ndarray, total: float, least: np.ndarra
                 m[part] = np.clip(m[part] + np.clip(step, -5, 5), -500, 30)
                 if abs(step[0]) < 1e-9:
                     break
-        if off < 1e-6:
+        if off < 1e-6 or np.abs(m - before).max() < 1e-9:
             break
     spark = cells.sparkSession
     if rows is not None:
@@ -138,13 +139,30 @@ def _weight(m: np.ndarray, col: str = "cats"):
     return F.least(F.lit(1.0), F.exp(F.aggregate(col, F.lit(0.0), lambda s, i: s + F.get(lit, i))))
 
 
-def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Moves p (0..1) along null directions of x' (rows by variables) until no more than rank(x) of them are undecided."""
+#: Open rows beyond which those that can't move are set aside before each move.
+FEW = 200
+
+
+def flight(p: np.ndarray, cats: list[tuple[int, ...]], rng: np.random.Generator) -> np.ndarray:
+    """Moves p (0..1) while the sum of p over the rows of each category stays, until no such move is left.
+
+    cats: the categories of each row. A move needs one open row more than there are categories among the rows taken, so the
+    matrix is never larger than what few rows bring with them, however many categories there are in all.
+    """
     p = p.copy()
-    open_ = list(np.flatnonzero((p > 1e-9) & (p < 1 - 1e-9)))
+    open_ = _movable(list(np.flatnonzero((p > 1e-9) & (p < 1 - 1e-9))), cats)
     while open_:
-        take = open_[: x.shape[1] + 1]
-        u = _null(x[take])
+        take, columns = [], {}
+        for i in open_:
+            take.append(i)
+            for c in cats[i]:
+                columns.setdefault(c, len(columns))
+            if len(take) > len(columns):
+                break
+        x = np.zeros((len(take), max(1, len(columns))))
+        for r, i in enumerate(take):
+            x[r, [columns[c] for c in cats[i]]] = 1
+        u = _null(x)
         if u is None:
             break
         q = p[take]
@@ -153,10 +171,20 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray
             down = np.where(u > 0, q / u, np.where(u < 0, (q - 1) / u, np.inf)).min()
         q = q + up * u if rng.random() < down / (up + down) else q - down * u
         p[take] = np.where(q < 1e-9, 0, np.where(q > 1 - 1e-9, 1, q))
-        open_ = [i for i in open_ if 0 < p[i] < 1]
+        open_ = _movable([i for i in open_ if 0 < p[i] < 1], cats) if len(open_) > FEW else [i for i in open_ if 0 < p[i] < 1]
     return p
 
 
+def _movable(rows: list[int], cats: list[tuple[int, ...]]) -> list[int]:
+    """Rows without a category that no other of them has: such a row alone would have to pay for its own move."""
+    while True:
+        n = Counter(c for i in rows for c in cats[i])
+        left = [i for i in rows if all(n[c] > 1 for c in cats[i])]
+        if len(left) == len(rows):
+            return rows
+        rows = left
+
+
 def _null(a: np.ndarray) -> np.ndarray | None:
     """A vector u with a' u = 0, or None."""
     _, s, vt = np.linalg.svd(a.T, full_matrices=True)
@@ -193,19 +221,14 @@ def _fly(k: int, seed: int, land: bool):
                     p[undecided[whole]] = s - whole
         i = np.flatnonzero((p > 0) & (p < 1))
         if len(i):
-            x = np.zeros((len(i), k + 1))
-            for r, j in enumerate(i):
-                x[r, list(df["cats"][j])] = 1
-            x[:, k] = 1
-            p[i] = flight(p[i], x[:, [k, *range(k)]], rng)
+            own = [(k, *df["cats"][j]) for j in i]  # k: the size of the sample
+            p[i] = flight(p[i], own, rng)
             if land:  # give up one variable after the other, the size of the sample last
                 i = np.flatnonzero((p > 0) & (p < 1))
-                for width in range(k, -1, -1):
-                    y = np.zeros((len(i), width + 1))
-                    y[:, 0] = 1
-                    for r, j in enumerate(i):
-                        y[r, [c + 1 for c in df["cats"][j] if c < width]] = 1
-                    p[i] = flight(p[i], y, rng)
+                there = sorted({c for j in i for c in df["cats"][j]}, reverse=True)
+                for at in range(0, len(there), max(1, len(there) // 100)):
+                    gone = there[min(at + max(1, len(there) // 100), len(there)) - 1]
+                    p[i] = flight(p[i], [(k, *(c for c in df["cats"][j] if c < gone)) for j in i], rng)
                 i = np.flatnonzero((p > 0) & (p < 1))
                 p[i] = rng.random(len(i)) < p[i]
         keep = p > 0
@@ -223,9 +246,7 @@ def balanced_sample(strata: DataFrame, targets: DataFrame, id_col: str, scalars:
     nowhere; null categories and broken arrays are no category; null shares and minima count as 0. The same input and seed give
     the same sample. No rows: an empty sample, and all targets with a minimum are unmet.
     """
-    kept = small_rows(targets.select("dimension", "category", "target_share", "min_rows").distinct().orderBy("dimension", "category", "target_share", "min_rows"), MAX_TARGETS)
-    if kept is None:
-        raise ValueError(f"more than {MAX_TARGETS} targets")
+    kept = targets.select("dimension", "category", "target_share", "min_rows").distinct().orderBy("dimension", "category", "target_share", "min_rows").collect()  # what is asked for, not data
     k = len(kept)
     ids = materialize(categorized(strata, kept, id_col, scalars, arrays), "categorized")
     n = ids.count()
@@ -240,6 +261,8 @@ def balanced_sample(strata: DataFrame, targets: DataFrame, id_col: str, scalars:
     for dim in exclusive:
         goal = _filled(goal, have, np.array([_fold(t["dimension"]) == dim for t in kept], bool), size)
     probs = calibrate(cells, goal, size, least)
+    if cells.count() <= LOCAL_CELLS:
+        probs = F.broadcast(probs)  # one combination may be that of most rows
     state = ids.join(probs, "cats").select("id", "cats", "p")
     parts = max(1, -(-n // rows_per_task))
     schema = "id string, cats array<int>, p double"

@@ -151,7 +151,10 @@ def test_leaks_against_brute_force(spark, budget):
         docs.append((d, ", ".join(own).upper()))
     docs += [(100, None), (101, ""), (102, items[0][1]), (102, items[1][1]), (None, items[2][1])]
     items += [(50, None), (51, "too short"), (52, items[0][1])]
-    got = {(x["item_id"], x["doc_id"]): x["distance"] for x in leakage.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=window, budget=budget, items_per_block=5).collect()}
+    got = {(x["item_id"], x["doc_id"]): x["distance"] for x in leakage.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=window, budget=budget).collect()}
+    # full bitmaps and shuffled pieces give the same
+    again = leakage.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=window, budget=budget, broadcast_pieces=3, max_bits=4)
+    assert {(x["item_id"], x["doc_id"]): x["distance"] for x in again.collect()} == got
     want = {}
     for i, it in items:
         iw = words(it)
@@ -192,3 +195,19 @@ def test_found_queries_against_brute_force(spark):
         for k in range(len(w) - 14):
             want |= {(x, i) for x in grams.get(tuple(w[k : k + 15]), ())}
     assert {tuple(r) for r in REG.queries["p8_found"](spark, d).select("item_id", "doc_id").collect()} == want
+
+
+def test_labels_of_any_length(spark):
+    for n in (1, 40, 70, 500):
+        a, b = f"{'x' * n}: one\n{'word ' * n}: two", f"{'word ' * n}: two | {'x' * n}: one"
+        assert formatdup.canonical_key(a) == formatdup.canonical_key(b) and formatdup.fields(a)
+    assert formatdup.fields("He came. Then he said: go\nShe left. And said: no") is None
+    assert formatdup.canonical_key("a" + " - " * 30_000 + "b") is not None
+
+
+def test_many_items_and_one_walk(spark):
+    r = random.Random(3)
+    items = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(20))) for i in range(400)]
+    docs = [(d, f"start {items[d * 7][1]} end") for d in range(50)]
+    run = lambda its, **kw: {(x["item_id"], x["doc_id"]) for x in leakage.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(its, "item_id long, text string"), budget=1, **kw).collect()}
+    assert run(items) == {(d * 7, d) for d in range(50)} == run(items, broadcast_pieces=10) == run(items[:200]) | run(items[200:])
