@@ -1,84 +1,368 @@
 """Near-duplicate texts by word sequences: all pairs at or above a Jaccard similarity, without comparing all pairs.
 
-The document by sequence incidence matrix A is multiplied with its transpose in blocks. Sequences are ordered from rare to
-frequent; a document's first `size - ceil(t * size) + 1` ones are its head block. Two documents at similarity t share at least
-one head sequence, so the product over head columns names every pair, with part of its overlap. Size-derived bounds
-(sizes within t, and overlap so far plus what can still come after the last common column) discard pairs; for the rest the overlap is
-completed over all columns. Documents with equal sets are one class and take part once.
+The document by sequence incidence matrix A is multiplied with its transpose in blocks. A block of rows is some documents, as one record of arrays: its distinct
+sequences and, for each document, where its own are among them; a block of columns is a range of sequences. Columns run from rare to frequent. Two documents
+that are similar share at least 1 + need // SPARE columns among the first of both, need being the overlap that their sizes demand. So the product is taken block by
+block over those head columns, overlap counts accumulate, and size-derived bounds discard pairs as they arise and after the blocks have been summed. For
+the pairs that are left the product goes on over the remaining columns, in blocks of documents that have partners in common. Documents with equal sets are one class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslathe.llm.formatdup import pairs_within
 from corpuslathe.llm.words import Shingler
-from corpuslathe.runtime import count_up_to, materialize
+from corpuslathe.runtime import count_up_to, materialize, small_rows
 
-#: Documents of one sequence and size band that meet in one task.
+#: Cells of a block of rows, and documents it may have; cells of a block of columns.
+ROW_BLOCK_CELLS, ROW_BLOCK_DOCS = 1_000_000, 1 << 20
+COLUMN_BLOCK_CELLS = 2_000_000
+#: Documents of one head column that meet in one task, and pairs that are completed together.
 BLOCK = 2_000
-BROADCAST_CELLS = 50_000
+PAIRS = 20_000
+#: A similar pair shares one head column more for each so many sequences that it must have in common: heads grow a little, chance pairs fall away.
+SPARE = 25
+BROADCAST_ROWS = 50_000
+#: Classes of frequency: exact up to 127 documents, then by doublings.
+_EXACT = 127
 
 
-def sequence_sets(rows: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, doc, size, grams): distinct word sequences as sorted hashes; doc is a short number for joins. Texts with fewer words are left out."""
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def sequence_blocks(rows: DataFrame, id_col: str, text_col: str, width: int, cells: int = ROW_BLOCK_CELLS) -> DataFrame:
+    """Blocks of rows: (block, ids, h1, h2, sizes, grams, counts, local). Texts with fewer words than the width are left out.
+
+    Document number p of a block is block << 20 | p. h1, h2: hash of its set. grams: the block's distinct sequences, sorted, and counts: how many of its
+    documents have each. local: for each document its places in grams, as steps.
+    """
+
+    def block(number: int, ids: list, sets: list[np.ndarray]) -> pd.DataFrame:
+        sizes = np.array([len(x) for x in sets], np.int32)
+        grams, inverse, counts = np.unique(np.concatenate(sets).view(np.uint64), return_inverse=True, return_counts=True)
+        local, at = np.empty(len(inverse), np.uint32), _starts(sizes)
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            own = np.sort(inverse[a:b])
+            local[a:b] = np.diff(own, prepend=0)
+        digests = [xxhash.xxh3_128_intdigest(x.tobytes()) for x in sets]
+        signed = lambda v: v - (1 << 64) if v >> 63 else v
+        return pd.DataFrame({"block": [number], "ids": [ids], "h1": [[signed(d >> 64) for d in digests]], "h2": [[signed(d & (1 << 64) - 1) for d in digests]], "sizes": [sizes.tolist()], "grams": [grams.tobytes()], "counts": [np.minimum(counts, 65_535).astype(np.uint16).tobytes()], "local": [local.tobytes()]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sh = Shingler(width)
+        sh, number = Shingler(width), TaskContext.get().partitionId() << 24
+        ids: list = []
+        sets: list[np.ndarray] = []
+        held = 0
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "grams": [sh.sequences(t) for t in b["text"]]})
+            for i, t in zip(b["id"], b["text"], strict=True):
+                own = sh.sequences(t)
+                if not len(own):
+                    continue
+                if ids and (held + len(own) > cells or len(ids) >= ROW_BLOCK_DOCS):
+                    yield block(number, ids, sets)
+                    number, ids, sets, held = number + 1, [], [], 0
+                ids.append(i)
+                sets.append(own)
+                held += len(own)
+        if ids:
+            yield block(number, ids, sets)
 
     id_type = rows.schema[id_col].dataType.simpleString()
-    sets = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null").mapInPandas(run, f"id {id_type}, grams array<bigint>")
-    sets = sets.where(F.size("grams") > 0).withColumn("size", F.size("grams")).withColumn("doc", F.monotonically_increasing_id())
-    return materialize(sets, "sequence_sets")
-
-
-def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, representatives): documents with equal sets form a class under its smallest doc number."""
-    keyed = sets.select("id", "doc", "size", F.xxhash64("grams").alias("h1"), F.hash("grams").alias("h2"))
-    rep = keyed.groupBy("h1", "h2", "size").agg(F.min("doc").alias("rep"), F.count("*").alias("n"))
-    members = materialize(keyed.join(rep, ["h1", "h2", "size"]).select("id", "rep", "n"), "members")
-    reps = sets.join(members.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").select("doc", "size", "grams")
-    return members, materialize(reps, "representatives")
-
-
-def similar_classes(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """(x, y, overlap, similarity) of pairs of representatives (doc, size, grams) with Jaccard similarity >= threshold; x <> y, each pair once."""
-    t = F.lit(float(threshold))
-    cells = reps.select("doc", "size", F.explode("grams").alias("gram"))
-    freq = cells.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    shared = cells.join(freq, "gram").groupBy("doc", "size").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    # sequences of no other document come first in the order and need no cell
-    head = F.col("size") - F.ceil(t * F.col("size") - 1e-9) + 1
-    own = F.col("size") - F.size("g")
-    heads = shared.withColumn("own", own).withColumn("take", (head - F.col("own")).cast("int")).where("take > 0")
-    heads = heads.select("doc", "size", "own", F.posexplode(F.slice("g", F.lit(1), F.col("take"))).alias("at", "c")).select("doc", "size", (F.col("own") + F.col("at")).alias("pos"), "c.gram")
-    band = F.floor(F.ln("size") / -F.ln(t)).cast("int") if threshold < 1 else F.col("size")
-    heads = materialize(heads.withColumn("band", band), "heads")
-    # a cell (sequence, band) with very many documents is split: one side by document, the other repeated for each part
-    crowded = heads.groupBy("gram", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")).where("parts > 1")
-    crowded = materialize(crowded, "crowded")  # at most heads / block rows
-    wide = F.broadcast(crowded) if count_up_to(crowded, BROADCAST_CELLS) <= BROADCAST_CELLS else crowded
-    split = lambda df: df.join(wide, ["gram", "band"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    x = split(heads.select(F.col("doc").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"), "gram", "band")).withColumn("part", F.pmod(F.xxhash64("x"), "parts").cast("int")).drop("parts")
-    y = heads.select(F.col("doc").alias("y"), F.col("size").alias("ys"), F.col("pos").alias("yp"), "gram", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    y = split(y).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    need = F.ceil(t / (1 + t) * (F.col("xs") + F.col("ys")) - 1e-9)
-    smaller = (F.col("ys") < F.col("xs")) | ((F.col("ys") == F.col("xs")) & (F.col("y") < F.col("x")))
-    fits = (F.col("ys") >= t * F.col("xs") - 1e-9) & (1 + F.least(F.col("xs") - F.col("xp"), F.col("ys") - F.col("yp")) - 1 >= need)
-    part = x.join(y, ["gram", "band", "part"]).where(smaller & fits).groupBy("x", "y", "xs", "ys").agg(F.count("*").alias("so_far"), F.max("xp").alias("xp"), F.max("yp").alias("yp"))
-    left = part.where(F.col("so_far") + F.least(F.col("xs") - F.col("xp") - 1, F.col("ys") - F.col("yp") - 1) >= need).select("x", "y", "xs", "ys")
-    left = materialize(left, "candidates")
-    a = reps.select(F.col("doc").alias("x"), F.col("grams").alias("xg"))
-    b = reps.select(F.col("doc").alias("y"), F.col("grams").alias("yg"))
-    full = left.join(a, "x").join(b, "y").withColumn("overlap", F.size(F.array_intersect("xg", "yg")))
-    sim = F.col("overlap") / (F.col("xs") + F.col("ys") - F.col("overlap"))
-    return materialize(full.withColumn("similarity", sim).where(F.col("similarity") >= t - 1e-12).select("x", "y", "overlap", "similarity"), "similar")
+    src = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    got = src.mapInPandas(run, f"block bigint, ids array<{id_type}>, h1 array<bigint>, h2 array<bigint>, sizes array<int>, grams binary, counts binary, local binary")
+    return materialize(got, "row_blocks")
+
+
+def classes(blocks: DataFrame) -> DataFrame:
+    """(id, rep, n): documents with equal sets form a class of n under its smallest document number."""
+    z = blocks.select("block", F.posexplode(F.arrays_zip("ids", "h1", "h2", "sizes")).alias("p", "z"))
+    keyed = z.select(F.col("z.ids").alias("id"), (F.shiftleft("block", 20) + F.col("p")).alias("doc"), F.col("z.h1").alias("h1"), F.col("z.h2").alias("h2"), F.col("z.sizes").alias("size"))
+    on = ["h1", "h2", "size"]
+    rep = materialize(keyed.groupBy(*on).agg(F.min("doc").alias("rep"), F.count("*").alias("n")), "classes")
+    # a class may hold a third of all documents: large ones, of which there are few, come by broadcast
+    large = rep.where(F.col("n") > BLOCK)
+    if 0 < count_up_to(large, BROADCAST_ROWS) <= BROADCAST_ROWS:
+        both = keyed.join(F.broadcast(large), on, "left")
+        done = both.where("rep is not null").select("id", "rep", "n")
+        rest = both.where("rep is null").drop("rep", "n").join(rep.where(F.col("n") <= BLOCK), on).select("id", "rep", "n")
+        return materialize(done.unionByName(rest), "members")
+    return materialize(keyed.join(rep, on).select("id", "rep", "n"), "members")
+
+
+def _split(parts: int):  # noqa: ANN202
+    """A block's sequences and counts by blocks of columns."""
+    edges = (np.arange(1, parts, dtype=np.float64) / parts * 2.0**64).astype(np.uint64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for number, grams, counts in zip(b["block"], b["grams"], b["counts"], strict=True):
+                g, c = np.frombuffer(grams, np.uint64), np.frombuffer(counts, np.uint16)
+                cut = np.concatenate([[0], np.searchsorted(g, edges), [len(g)]])
+                yield pd.DataFrame({"part": np.arange(parts), "block": number, "grams": [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], "counts": [c[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]})
+
+    return run
+
+
+def _frequency_class(df: np.ndarray) -> np.ndarray:
+    """0 for a sequence of one document alone, then rising with frequency."""
+    return np.where(df <= _EXACT, df - 1, _EXACT + np.ceil(np.log2(np.maximum(df, 1) / _EXACT) * 3)).astype(np.uint8)
+
+
+def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (part, block, grams, counts) sorted by part to (block, part, kinds, numbers): for each sequence its class of frequency and, if others have it too, its number in the part (as steps)."""
+
+    def told(part: int, held: list) -> pd.DataFrame:
+        grams = [np.frombuffer(g, np.uint64) for _, g, _ in held]
+        every, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+        df = np.bincount(inverse, np.concatenate([np.frombuffer(c, np.uint16) for _, _, c in held]), len(every))
+        kind = _frequency_class(df)
+        number = np.cumsum(kind > 0) - 1
+        kinds, numbers, at = [], [], _starts([len(g) for g in grams])
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            own = inverse[a:b]
+            k = kind[own]
+            kinds.append(k.tobytes())
+            numbers.append(np.diff(number[own[k > 0]], prepend=0).astype(np.uint32).tobytes())
+        return pd.DataFrame({"block": [x[0] for x in held], "part": part, "kinds": kinds, "numbers": numbers})
+
+    part, held = None, []
+    for b in batches:
+        for p, block, g, c in zip(b["part"], b["block"], b["grams"], b["counts"], strict=True):
+            if held and p != part:
+                yield told(part, held)
+                held = []
+            part = p
+            held.append((block, g, c))
+    if held:
+        yield told(part, held)
+
+
+def _heads(t: float):  # noqa: ANN202
+    """Rows of one block, sorted by kind (0: classes of frequency by part, 1: representatives, 2: the block itself), to its documents' columns (kind 0) and head cells (kind 1)."""
+
+    def of(block: int, told: dict[int, tuple[bytes, bytes]], reps: np.ndarray, sizes: np.ndarray, local: np.ndarray) -> Iterator[pd.DataFrame]:
+        columns = []
+        for p in sorted(told):
+            kinds, numbers = np.frombuffer(told[p][0], np.uint8), np.cumsum(np.frombuffer(told[p][1], np.uint32), dtype=np.int64)
+            c = np.full(len(kinds), -1, np.int64)
+            c[kinds > 0] = kinds[kinds > 0].astype(np.int64) << 55 | p << 32 | numbers
+            columns.append(c)
+        column, at = np.concatenate(columns), _starts(sizes)
+        docs, own, cols, heads = [], [], [], []
+        for r in reps.tolist():
+            n = int(sizes[r])
+            c = np.sort(column[np.cumsum(local[at[r] : at[r + 1]], dtype=np.int64)])
+            c = c[np.searchsorted(c, 0) :]  # what no other document has comes first in the order and needs no cell
+            least = int(np.ceil(t * n - 1e-9))
+            take = min(n, n - least + 1 + least // SPARE) - (n - len(c))
+            docs.append(block << 20 | r)
+            own.append(n)
+            cols.append(np.diff(np.sort(c & (1 << 55) - 1), prepend=0).tobytes())
+            h = c[: max(take, 0)]
+            heads.append((h, np.arange(n - len(c), n - len(c) + len(h), dtype=np.int32)))
+        yield pd.DataFrame({"kind": 0, "doc": docs, "size": own, "cols": cols, "docs": None, "sizes": None, "places": None})
+        many = np.array([len(h) for h, _ in heads], np.int64)
+        if many.sum():
+            d, n = np.repeat(np.array(docs, np.int64), many), np.repeat(np.array(own, np.int32), many)
+            h, p = np.concatenate([x for x, _ in heads]), np.concatenate([x for _, x in heads])
+            yield pd.DataFrame({"kind": [1], "doc": [0], "size": [0], "cols": [h.tobytes()], "docs": [d.tobytes()], "sizes": [n.tobytes()], "places": [p.tobytes()]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        told: dict[int, tuple[bytes, bytes]] = {}
+        reps = np.empty(0, np.int64)
+        for b in batches:
+            for block, kind, part, x, y in zip(b["block"], b["kind"], b["part"], b["x"], b["y"], strict=True):
+                if kind == 0:
+                    told[part] = (x, y)
+                elif kind == 1:
+                    reps = np.frombuffer(x, np.int64)
+                else:
+                    if len(reps):
+                        yield from of(block, told, reps, np.frombuffer(x, np.int32), np.frombuffer(y, np.uint32))
+                    told, reps = {}, np.empty(0, np.int64)
+
+    return run
+
+
+def _by_columns(parts: int, crowded: dict[int, int]):  # noqa: ANN202
+    """A block's head cells by blocks of columns. A crowded column's documents are dealt out, and each two hands meet in a place of their own."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hot = np.array(sorted(crowded), np.int64)
+        for b in batches:
+            for cols, docs, sizes, places in zip(b["cols"], b["docs"], b["sizes"], b["places"], strict=True):
+                c, d, n, p = np.frombuffer(cols, np.int64), np.frombuffer(docs, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(places, np.int32)
+                group, side = _mixed(c), np.zeros(len(c), np.int8)
+                if len(hot):
+                    at = np.isin(c, hot)
+                    take, groups, sides = [np.flatnonzero(~at)], [group[~at]], [side[~at]]
+                    for i in np.flatnonzero(at).tolist():
+                        hands = crowded[int(c[i])]
+                        own = int(_mixed(d[i : i + 1])[0] % np.uint64(hands))
+                        meet = [(min(own, o), max(own, o)) for o in range(hands)]
+                        take.append(np.full(hands, i))
+                        groups.append(_mixed(np.array([(int(group[i]) + (x << 20 | y) + 1) & (1 << 64) - 1 for x, y in meet], np.uint64)))
+                        sides.append(np.array([0 if x == y else 1 + (own == y) for x, y in meet], np.int8))
+                    take_, group, side = np.concatenate(take), np.concatenate(groups), np.concatenate(sides)
+                    d, n, p = d[take_], n[take_], p[take_]
+                part = (group % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                cut = np.searchsorted(part[order], np.arange(parts + 1))
+                for k in np.flatnonzero(np.diff(cut)).tolist():
+                    o = order[cut[k] : cut[k + 1]]
+                    yield pd.DataFrame({"part": [k], "groups": [group[o].tobytes()], "docs": [d[o].tobytes()], "sizes": [n[o].tobytes()], "places": [p[o].tobytes()], "sides": [side[o].tobytes()]})
+
+    return run
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+        return h * np.uint64(0xD6E8FEB86659FD93)
+
+
+def need(t: float, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The overlap that two sets of these sizes need."""
+    return np.ceil(t / (1 + t) * (x.astype(np.int64) + y) - 1e-9).astype(np.int64)
+
+
+def _products(t: float):  # noqa: ANN202
+    """Head cells of a block of columns, sorted by part, to (x, y, xs, ys, n): pairs with the number of head columns that they share in it."""
+
+    def of(held: list) -> pd.DataFrame | None:
+        group, docs, sizes, places, sides = (np.concatenate([np.frombuffer(h[i], ty) for h in held]) for i, ty in enumerate((np.uint64, np.int64, np.int32, np.int32, np.int8)))
+        names, doc = np.unique(docs, return_inverse=True)
+        o = np.lexsort((doc, sizes, group))
+        group, doc, sizes, places, sides = group[o], doc[o], sizes[o], places[o], sides[o]
+        first, codes, k = np.arange(len(group)), [], 0
+        while len(first):
+            # each cell meets the k-th after it in its column; sizes rise, so one too large means that all after it are
+            k += 1
+            first = first[first + k < len(group)]
+            second = first + k
+            near = (group[first] == group[second]) & (sizes[first] >= t * sizes[second] - 1e-9)
+            first, second = first[near], second[near]
+            a = need(t, sizes[first], sizes[second])
+            room = a - a // SPARE
+            ok = (sizes[first] - places[first] >= room) & (sizes[second] - places[second] >= room) & ((sides[first] == 0) | (sides[first] != sides[second]))
+            x, y = doc[first[ok]], doc[second[ok]]
+            codes.append(np.minimum(x, y) * len(names) + np.maximum(x, y))
+        codes = np.concatenate(codes) if codes else np.empty(0, np.int64)
+        if not len(codes):
+            return None
+        code, n = np.unique(codes, return_counts=True)
+        x, y = code // len(names), code % len(names)
+        size = np.empty(len(names), np.int32)
+        size[doc] = sizes
+        return pd.DataFrame({"x": names[x], "y": names[y], "xs": size[x], "ys": size[y], "n": n})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, held = None, []
+        for b in batches:
+            for row in b[["part", "groups", "docs", "sizes", "places", "sides"]].itertuples(index=False):
+                if held and row[0] != part:
+                    got = of(held)
+                    if got is not None:
+                        yield got
+                    held = []
+                part = row[0]
+                held.append(row[1:])
+        if held:
+            got = of(held)
+            if got is not None:
+                yield got
+
+    return run
+
+
+def _completed(t: float):  # noqa: ANN202
+    """Rows of a block of documents sorted by kind (0: a document's columns, 1: a pair) to the pairs that are similar, over all columns."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blk, cols = None, {}
+        for b in batches:
+            out = []
+            for k, kind, x, y, xs, ys, c in zip(*(b[n] for n in ("blk", "kind", "x", "y", "xs", "ys", "cols")), strict=True):
+                if k != blk:
+                    blk, cols = k, {}
+                if kind == 0:
+                    cols[x] = np.cumsum(np.frombuffer(c, np.int64))
+                    continue
+                both = np.concatenate([cols[x], cols[y]])
+                both.sort()
+                overlap = int((both[1:] == both[:-1]).sum())
+                sim = overlap / (xs + ys - overlap)
+                if sim >= t - 1e-12:
+                    out.append((x, y, overlap, sim))
+            if out:
+                yield pd.DataFrame(out, columns=["x", "y", "overlap", "similarity"])
+
+    return run
+
+
+def similar_classes(blocks: DataFrame, members: DataFrame, threshold: float, block: int = BLOCK, pairs: int = PAIRS) -> DataFrame:
+    """(x, y, overlap, similarity) of pairs of representatives with Jaccard similarity >= threshold; x < y, each pair once."""
+    spark, t = blocks.sparkSession, float(threshold)
+    cells = blocks.agg(F.coalesce(F.sum(F.length("grams") / 8), F.lit(0))).first()[0]
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(cells // COLUMN_BLOCK_CELLS) + 1)
+    split = blocks.select("block", "grams", "counts").mapInPandas(_split(parts), "part int, block bigint, grams binary, counts binary")
+    told = split.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(_frequencies, "block bigint, part int, kinds binary, numbers binary")
+    reps = members.select(F.shiftright("rep", 20).alias("block"), F.col("rep").bitwiseAND(F.lit((1 << 20) - 1)).alias("p")).distinct().groupBy("block").agg(F.array_sort(F.collect_list("p")).alias("p"))  # at most a block's documents
+    as_bytes = lambda kind: F.pandas_udf(lambda s: s.map(lambda v: np.asarray(v, kind).tobytes()), "binary")
+    none = F.lit(None).cast("binary")
+    rows = (
+        told.select("block", F.lit(0).alias("kind"), "part", F.col("kinds").alias("x"), F.col("numbers").alias("y"))
+        .unionByName(reps.select("block", F.lit(1).alias("kind"), F.lit(0).alias("part"), as_bytes(np.int64)("p").alias("x"), none.alias("y")))
+        .unionByName(blocks.select("block", F.lit(2).alias("kind"), F.lit(0).alias("part"), as_bytes(np.int32)("sizes").alias("x"), F.col("local").alias("y")))
+    )
+    schema = "kind int, doc bigint, size int, cols binary, docs binary, sizes binary, places binary"
+    made = materialize(rows.repartition("block").sortWithinPartitions("block", "kind").mapInPandas(_heads(t), schema), "incidence", ["kind"])
+    heads = made.where("kind = 1").select("cols", "docs", "sizes", "places")
+    crowded = _crowded(heads, block)
+    parts = max(2 * spark.sparkContext.defaultParallelism, int((heads.agg(F.coalesce(F.sum(F.length("cols") / 8), F.lit(0))).first()[0]) // COLUMN_BLOCK_CELLS) + 1)
+    dealt = heads.mapInPandas(_by_columns(parts, crowded), "part int, groups binary, docs binary, sizes binary, places binary, sides binary")
+    found = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(_products(t), "x bigint, y bigint, xs int, ys int, n bigint")
+    sums = found.groupBy("x", "y", "xs", "ys").agg(F.sum("n").alias("n"))
+    wanted = F.ceil(F.lit(t / (1 + t)) * (F.col("xs") + F.col("ys")) - 1e-9)
+    left = materialize(sums.where(F.col("n") >= 1 + F.floor(wanted / SPARE)).select("x", "y", "xs", "ys"), "candidates")
+    # pairs under one leader, the smallest partner of x, mostly have their documents in common; large leaders are split by x
+    ends = left.select("x", F.col("x").alias("o")).union(left.select("y", "x"))
+    lead = ends.groupBy("x").agg(F.min("o").alias("lead"))
+    led = materialize(left.join(lead, "x"), "led")
+    large = led.groupBy("lead").count().where(F.col("count") > pairs).select("lead", F.ceil(F.col("count") / pairs).cast("int").alias("k"))  # at most pairs / PAIRS rows
+    led = led.join(F.broadcast(large) if count_up_to(large, BROADCAST_ROWS) <= BROADCAST_ROWS else large, "lead", "left")
+    led = led.withColumn("blk", F.xxhash64("lead", F.pmod(F.xxhash64("x"), F.coalesce("k", F.lit(1))))).select("blk", "x", "y", "xs", "ys")
+    docs = made.where("kind = 0").select(F.col("doc").alias("x"), "cols")
+    wants = led.select("blk", "x").union(led.select("blk", "y")).distinct().join(docs, "x")
+    no = F.lit(None).cast("bigint")
+    both = wants.select("blk", F.lit(0).alias("kind"), "x", no.alias("y"), F.lit(0).alias("xs"), F.lit(0).alias("ys"), "cols").unionByName(led.select("blk", F.lit(1).alias("kind"), "x", "y", "xs", "ys", none.alias("cols")))
+    return materialize(both.repartition("blk").sortWithinPartitions("blk", "kind").mapInPandas(_completed(t), "x bigint, y bigint, overlap int, similarity double"), "similar")
+
+
+def _crowded(heads: DataFrame, block: int) -> dict[int, int]:
+    """Head columns of more than `block` documents and into how many hands they are dealt; what is large enough to be one rises until there are few."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for cols in b["cols"]:
+                c, n = np.unique(np.frombuffer(cols, np.int64), return_counts=True)
+                yield pd.DataFrame({"c": c, "n": n})
+
+    counts = heads.select("cols").mapInPandas(run, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n")).where(F.col("n") > block)
+    counts = materialize(counts, "crowded")
+    while (rows := small_rows(counts.where(F.col("n") > block), BROADCAST_ROWS)) is None:
+        block *= 2
+    return {r["c"]: -(-r["n"] // block) for r in rows}
 
 
 def near_duplicate_pairs(rows: DataFrame, id_col: str, text_col: str, width: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -87,8 +371,9 @@ def near_duplicate_pairs(rows: DataFrame, id_col: str, text_col: str, width: int
     Null ids, null or empty texts and texts of fewer than `width` words have no sequences and no pairs. An id on several rows
     is in a pair if any of its texts is. Ties (equal sizes) are kept. Empty table: nothing. Very long texts are used whole.
     """
-    members, reps = classes(sequence_sets(rows, id_col, text_col, width))
-    sim = similar_classes(reps, threshold)
+    blocks = sequence_blocks(rows, id_col, text_col, width)
+    members = classes(blocks)
+    sim = similar_classes(blocks, members, threshold)
     m = members.select("id", "rep")
     across = sim.join(m.select(F.col("rep").alias("x"), F.col("id").alias("ix")), "x").join(m.select(F.col("rep").alias("y"), F.col("id").alias("iy")), "y")
     across = across.where("ix <> iy").select(F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b"))
@@ -97,8 +382,9 @@ def near_duplicate_pairs(rows: DataFrame, id_col: str, text_col: str, width: int
 
 def near_duplicate_groups(rows: DataFrame, id_col: str, text_col: str, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per document with sequences: id, class_id (smallest id with an equal set), links (similar other classes), group_id (smallest class id of its connected component)."""
-    members, reps = classes(sequence_sets(rows, id_col, text_col, width))
-    sim = similar_classes(reps, threshold)
+    blocks = sequence_blocks(rows, id_col, text_col, width)
+    members = classes(blocks)
+    sim = similar_classes(blocks, members, threshold)
     names = members.groupBy("rep").agg(F.min("id").alias("class_id"))
     ends = sim.select(F.col("x").alias("rep"), F.col("y").alias("o")).union(sim.select("y", "x"))
     links = ends.groupBy("rep").agg(F.count("*").alias("links"))

@@ -32,7 +32,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 @REG.query()
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.near_duplicate_groups(table(spark, d, "prompts"), "prompt_sha256", "prompt_text").withColumnRenamed("id", "prompt_sha256")
+    return neardup.near_duplicate_groups(table(spark, d, "prompts"), "prompt_sha256", "prompt_text", width=3, threshold=0.6).withColumnRenamed("id", "prompt_sha256")
 
 
 @REG.query()
