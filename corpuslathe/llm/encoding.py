@@ -14,12 +14,17 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslathe.llm.words import bitmap, bits_for
 from corpuslathe.runtime import materialize
 
+#: Units that a task counts before it passes them on; up to so many forms are broadcast to the texts.
+HELD_UNITS, BROADCAST_FORMS, SALTS = 300_000, 50_000, 16
 #: Fixed values: (written as, read as) by family. Letters' encodings and those of Han and kana.
 _ONE_BYTE = ["latin-1", "cp1252", "iso8859-15", "cp1250", "cp1251", "cp1253", "cp1254", "koi8-r", "cp437", "cp850", "cp866", "mac-roman", "mac-cyrillic"]
 _WIDE = ["gbk", "cp932", "euc-jp", "big5", "euc-kr"]
@@ -32,6 +37,8 @@ CHAINS: list[tuple[str, ...]] = (
     + [("utf-8", r, "utf-8", r) for r in ("cp1251", "cp437", "mac-roman", "cp1250")]
 )
 _LATIN = ("latin-1", "cp1252", "iso8859-15", "cp1250", "cp1254", "cp437", "cp850", "mac-roman")
+#: The chains by the encoding that wrote; where the reader takes several bytes for a character, the first may have gone with what stood before.
+_BY_WRITER = [(w, [(c, ">".join(c), (0, 1) if w == "utf-8" and c[1] in (*_WIDE, "gb18030") else (0,)) for c in CHAINS if c[0] == w]) for w in dict.fromkeys(c[0] for c in CHAINS)]
 #: What becomes of bytes that an encoding leaves undefined: the control character of that number, nothing, or U+FFFD.
 UNDEFINED = ("keep", "drop", "replace")
 
@@ -39,6 +46,7 @@ WIDE_CHAR = "⺀-〿ぁ-ヿ㄀-㆏ㇰ-㏿㐀-䶿一-鿿가-힣豈-﫿︰-﹏＀-
 _SPLIT = re.compile(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _WIDE_RUN = re.compile(f"[{WIDE_CHAR}�]+")
 _BEYOND = re.compile(r"[^\x00-\x7f]")
+_WORD_RUN = re.compile(f"[^\\W{WIDE_CHAR}]+")
 _NARROW_RUN = re.compile(f"[^\\s{WIDE_CHAR}�\\x00-\\x1f]*[^\\x00-\\x7f{WIDE_CHAR}�][^\\x00-\\x1f{WIDE_CHAR}�]*")
 #: Quotation marks, dashes and dots that stand next to letters in well-written text.
 _TYPOGRAPHIC = frozenset("’‘“”„‚«»‹›–—…•")
@@ -212,7 +220,11 @@ def units(text: str) -> tuple[set[str], set[str], set[str]]:
     if not _BEYOND.search(text):
         return set(), set(), set()
     found = {t for t in _SPLIT.split(text) if t and not t.isascii()}
-    sources, probes = {t for t in found if len(t) <= 40}, {t for t in found if len(t) <= 80}
+    probes = set(found)
+    # a long unit of Han or kana is many words: its pairs below stand for it, and the words of other scripts in it for themselves
+    sources = {t for t in found if len(t) <= 40 or not _WIDE_RUN.search(t)}
+    for t in found - sources:
+        sources.update(w for w in _WORD_RUN.findall(t) if not w.isascii())
     for t in list(sources):
         sources.add(t.lower())
     sources.update(c for c in set(text) if c > "\x7f")
@@ -241,30 +253,50 @@ def forms(unit: str) -> Iterator[tuple[str, str, bool]]:
     wide = len(unit) == 2 and all(_WIDE_RUN.fullmatch(c) for c in unit)
     seen = {unit, unit.lower(), ""}
     lone = len(unit) == 1 and _WIDE_RUN.fullmatch(unit) is not None
-    for chain in CHAINS:
-        if lone and chain[0] in _WIDE:  # two bytes are too little to tell from other text
+    for writer, chains in _BY_WRITER:
+        if lone and writer in _WIDE:  # two bytes are too little to tell from other text
             continue
-        name, strict, failed = ">".join(chain), set(), set()
-        for undefined in UNDEFINED:
-            for skip in (0, 1) if wide and chain[0] in ("utf-8",) and chain[1] in (*_WIDE, "gb18030") else (0,):
-                if undefined != "keep" and (skip in strict or skip in failed):  # no byte is undefined, or it can't be written
-                    continue
-                g = _strictly(unit, chain, skip)
-                if g is not None:
-                    strict.add(skip)
+        try:  # written once for all its readers
+            data, sound = unit.encode(writer), True
+        except UnicodeEncodeError:
+            try:
+                data, sound = _write(unit, writer), False
+            except UnicodeEncodeError:
+                continue
+        for chain, name, skips in chains:
+            for skip in skips if wide else (0,):
+                if sound and (g := _strict_rest(data[skip:], chain)) is not None:
+                    read = ((g, "keep"),)  # no byte is undefined
                 else:
-                    g = garble(unit, chain, undefined, skip)
-                if g is None:
-                    failed.add(skip)
-                    continue
-                if wide and chain[-1] not in _ONE_BYTE:
-                    g = g.strip("�") if undefined == "replace" else g
-                    if len(g) < 2:
+                    kept = _rest(data[skip:], chain, "keep")
+                    if kept is None:
                         continue
-                for v in (g, g.lower(), g.upper()):
-                    if v not in seen and not v.isascii() and (len(v) > 1 or v == "�"):
-                        seen.add(v)
-                        yield v, name, undefined == "keep"
+                    read = ((kept, "keep"), *((x, u) for u in UNDEFINED[1:] if (x := _rest(data[skip:], chain, u)) is not None))
+                for g, undefined in read:
+                    if wide and chain[-1] not in _ONE_BYTE:
+                        g = g.strip("�") if undefined == "replace" else g
+                        if len(g) < 2:
+                            continue
+                    for v in (g, g.lower(), g.upper()):
+                        if v not in seen and not v.isascii() and (len(v) > 1 or v == "�"):
+                            seen.add(v)
+                            yield v, name, undefined == "keep"
+
+
+def _strict_rest(data: bytes, chain: tuple[str, ...]) -> str | None:
+    """What the bytes, written by the chain's first encoding, become in the rest of it, where every byte means something; None otherwise."""
+    try:
+        text = data.decode(chain[1])
+        for i in range(2, len(chain), 2):
+            text = text.encode(chain[i]).decode(chain[i + 1])
+    except UnicodeError:
+        return None
+    return text
+
+
+def _rest(data: bytes, chain: tuple[str, ...], undefined: str) -> str | None:
+    text = _read(data, chain[1], undefined)
+    return garble(text, chain[2:], undefined) if len(chain) > 2 else text
 
 
 def _grown(unit: str, form: str, chain: str) -> bool:
@@ -282,30 +314,66 @@ def _texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike("[^\\x00-\\x7f]"))
 
 
-def _tokens(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    id_type = rows.schema[id_col].dataType.simpleString()
+def _bits(words: list[str], bits: int) -> np.ndarray:
+    """As many first bits of each word's hash, which is that of Spark's xxhash64."""
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) >> (64 - bits) for w in words), np.int64, len(words))
+
+
+def _counts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(unit, df, source, probe, whole) of all units, counted within tasks first. Of texts that differ in nothing but digits, spaces and ASCII signs one is counted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, list[int]] = {}
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame([(u, *v) for u, v in held.items()], columns=["unit", "n", "source", "probe", "whole"])
+
         for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.iloc[at : at + 500]
-                ids, content, toks, source, probe, whole = [], [], [], [], [], []
-                for i, t, k in zip(part["id"], part["t"], part["content"], strict=True):
-                    if not t:
-                        continue
-                    s, p, w = units(t)
-                    for u in s | p:
-                        ids.append(i)
-                        content.append(k)
-                        toks.append(u)
-                        source.append(u in s)
-                        probe.append(u in p)
-                        whole.append(u in w)
-                if toks:
-                    yield pd.DataFrame({"id": ids, "content": content, "unit": toks, "source": source, "probe": probe, "whole": whole})
+            for t in b["t"]:
+                s, p, w = units(t)
+                for u in s | p:
+                    x = held.get(u)
+                    if x is None:
+                        held[u] = [1, u in s, u in p, u in w]
+                    else:
+                        x[0] += 1
+                        x[1] |= u in s
+                        x[2] |= u in p
+                        x[3] |= u in w
+                if len(held) > HELD_UNITS:
+                    yield out()
+                    held.clear()
+        if held:
+            yield out()
 
     content = F.xxhash64(F.regexp_replace(F.lower("t"), "[\\x00-\\x60\\x7b-\\x7f]+", "")).alias("content")
-    return _texts(rows, id_col, text_col).select("id", "t", content).mapInPandas(run, f"id {id_type}, content bigint, unit string, source boolean, probe boolean, whole boolean")
+    one = _texts(rows, id_col, text_col).select("id", "t", content).groupBy("content").agg(F.min_by("t", "id").alias("t"))
+    each = one.select("t").mapInPandas(run, "unit string, n bigint, source boolean, probe boolean, whole boolean")
+    return materialize(each.groupBy("unit").agg(F.sum("n").alias("df"), F.max("source").alias("source"), F.max("probe").alias("probe"), F.max("whole").alias("whole")), "unit_counts")
+
+
+def _found(rows: DataFrame, id_col: str, text_col: str, best: DataFrame, n: int) -> DataFrame:
+    """The forms in `best` that each text holds: (id, whole, and the columns of best)."""
+    bits = bits_for(n)
+    there = bitmap(best.select(F.xxhash64("form").alias("h")), bits)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, t in zip(b["id"], b["t"], strict=True):
+                _, p, w = units(t)
+                own = list(p)
+                at = _bits(own, bits)
+                out += [(i, own[k], own[k] in w) for k in np.flatnonzero(there[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist()]
+            yield pd.DataFrame(out, columns=["id", "form", "whole"])
+
+    id_type = rows.schema[id_col].dataType.simpleString()
+    got = _texts(rows, id_col, text_col).mapInPandas(run, f"id {id_type}, form string, whole boolean")
+    if n <= BROADCAST_FORMS:
+        return got.join(F.broadcast(best), "form").distinct()
+    # one form may stand in a third of all texts
+    salted = got.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return salted.join(best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["form", "salt"]).drop("salt").distinct()
 
 
 def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -317,14 +385,18 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     or undoing a chain explains the record that holds it (`undone`). Weak forms count for no chain that makes a record read worse when undone.
     original is null where the original in the table is another chain's.
     """
-    t = materialize(_tokens(rows, id_col, text_col), "units")
-    freq = materialize(t.groupBy("unit").agg(F.count_distinct("content").alias("df"), F.max("source").alias("source"), F.max("probe").alias("probe"), F.max("whole").alias("whole")), "unit_counts")
+    freq = _counts(rows, id_col, text_col)
+    # a form that is nobody's unit is dropped where it is made, as far as a bitmap of bounded size can tell; the join tells the rest
+    bits = bits_for(freq.where("probe").count())
+    asked = bitmap(freq.where("probe").select(F.xxhash64("unit").alias("h")), bits)
 
     def table(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), 400):
                 part = b.iloc[at : at + 400]
                 out = [(f, u, chain, n, alone, all_bytes) for u, n, alone in zip(part["unit"], part["df"], part["whole"], strict=True) for f, chain, all_bytes in forms(u)]
+                at = _bits([x[0] for x in out], bits)
+                out = [out[k] for k in np.flatnonzero(asked[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist()]
                 if out:
                     yield pd.DataFrame(out, columns=["form", "original", "chain", "original_df", "alone", "all_bytes"])
 
@@ -353,7 +425,7 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # a weak form whose lower case is an established word is that word in capitals
     rarer = rarer & (F.col("b.strong") | (F.col("fold_df") <= F.col("b.original_df") / 2) | (F.col("fold_df") <= 2))
     best = materialize(best.select("form", F.col("b.original").alias("original"), F.col("b.chain").alias("chain"), "chains", F.col("b.strong").alias("strong"), (F.col("b.grown") & ~F.col("b.clear")).alias("alone"), (~rarer).alias("common"), "form_df", F.col("b.original_df").alias("original_df")), "garbled_forms")
-    hits = t.where("probe").select("id", F.col("unit").alias("form"), "whole").join(best, "form").where("whole or not alone").select("id", "form", "original", "chain", "chains", "strong", "common", "form_df", "original_df")
+    hits = _found(rows, id_col, text_col, best, best.count()).where("whole or not alone").select("id", "form", "original", "chain", "chains", "strong", "common", "form_df", "original_df")
     hits = materialize(hits, "form_hits")
     kept = hits.join(_explained(hits, rows, id_col, text_col), "id", "left")
     yes, no = (F.coalesce(c, F.array().cast("array<string>")) for c in ("yes", "no"))
@@ -383,13 +455,14 @@ def _explained(hits: DataFrame, rows: DataFrame, id_col: str, text_col: str) ->
     return told.groupBy("id").agg(F.flatten(F.collect_list("yes")).alias("yes"), F.flatten(F.collect_list("no")).alias("no"))
 
 
-def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: int = 3) -> DataFrame:
+def garbled_records(rows: DataFrame, id_col: str, text_col: str, weak_needed: int = 3, hits: DataFrame | None = None) -> DataFrame:
     """(id, chain, strong, weak): records holding garbled text, with the chain that explains most of their units.
 
     One strong unit suffices; of weak ones `weak_needed` different ones of one chain and of at least two characters are needed. Null, empty and pure
     ASCII texts are never garbled, nor are rows without an id. Repeated ids are one record. Empty table: nothing.
     """
-    hits = materialize(garbled_units(rows, id_col, text_col), "garbled_units")
+    if hits is None:
+        hits = garbled_units(rows, id_col, text_col)
     each = hits.select("id", "form", "strong", F.explode("chains").alias("chain"))
     per = each.where("length(form) >= 2 or strong").groupBy("id", "chain").agg(F.count_if("strong").alias("strong"), F.count_if(~F.col("strong")).alias("weak"))
     ok = per.where((F.col("strong") > 0) | (F.col("weak") >= weak_needed))
@@ -400,7 +473,8 @@ def restore(text: str, chains: dict[str, list[str]], originals: dict[str, str],
     """(text as it was written, whether all of it could be restored).
 
     Each chain, the likeliest first, is undone on every stretch of the text that holds one of its forms, where that works and gives back the
-    stretch when applied again; what is left is replaced form by form with the original in the table. odder: also where the result looks less like text.
+    stretch when applied again; what is left is replaced unit by unit with the original in the table, where one of the chains makes the stored form of it.
+    A form within another word is no unit and stays. odder: also where the result looks less like text.
     """
     for name, forms_ in chains.items():
         chain, known = tuple(name.split(">")), set(forms_)
@@ -411,10 +485,35 @@ def restore(text: str, chains: dict[str, list[str]], originals: dict[str, str],
 
         text = _LINE.sub(whole, text)  # a line most of whose words are such forms went this way as a whole
         text = _stretch(chain).sub(lambda m, c=chain, fs=forms_: _undo(m[0], c, odder) if any(f in m[0] for f in fs) else m[0], text)
-    left = {f: o for f, o in originals.items() if f.strip("�") and len(f) > 2 and f in text}
-    for f in sorted(left, key=len, reverse=True):
-        text = text.replace(f, left[f])
-    return text, "�" not in text and not any(unicodedata.category(c) == "Cc" and c > "\x7f" for c in text)
+    if originals:
+        names = [tuple(n.split(">")) for n in chains]
+        sure = {f: o for f, o in originals.items() if f in text and any(f in _variants(o, c) for c in names)}
+        text = _UNIT.sub(lambda m: sure.get(m[0]) or _tiled(m[0], sure), text)
+    left = originals and any(t in originals or any(t[i : i + n] in originals for n in (2, 3) for i in range(len(t) - n + 1) if _WIDE_RUN.fullmatch(t)) for t in _SPLIT.split(text) if t and not t.isascii())
+    return text, not left and "�" not in text and not any(unicodedata.category(c) == "Cc" and c > "\x7f" for c in text)
+
+
+_UNIT = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def _variants(original: str, chain: tuple[str, ...]) -> set[str]:
+    """What the chain makes of a text, whatever becomes of undefined bytes, in any case."""
+    made = {g for u in UNDEFINED for k in (0, 1) if (g := garble(original, chain, u, k))}
+    return {v for g in made for x in (g, g.strip("�")) for v in (x, x.lower(), x.upper())}
+
+
+def _tiled(run: str, sure: dict[str, str]) -> str:
+    """A run of Han or kana that consists of known forms from end to end becomes their originals; any other stays as it is."""
+    if not sure or not _WIDE_RUN.fullmatch(run):
+        return run
+    out, i = [], 0
+    while i < len(run):
+        n = next((n for n in (3, 2) if run[i : i + n] in sure and i + n <= len(run)), 0)
+        if not n:
+            return run
+        out.append(sure[run[i : i + n]])
+        i += n
+    return "".join(out)
 
 
 _LINE = re.compile(r"[^\x00-\x1f]*[^\x00-\x7f][^\x00-\x1f]*")
@@ -441,7 +540,7 @@ def _undo(s: str, chain: tuple[str, ...], odder: bool = False) -> str:
 def restored_records(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, restored_text, complete) of the garbled records; complete is false where something couldn't be restored."""
     hits = materialize(garbled_units(rows, id_col, text_col), "garbled_units")
-    bad = garbled_records(rows, id_col, text_col).select("id")
+    bad = garbled_records(rows, id_col, text_col, hits=hits).select("id")
     per = hits.groupBy("id").agg(F.collect_list(F.struct("form", "original", "chains", "strong")).alias("h"))
     src = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where("t is not null").dropDuplicates(["id"])
     id_type = rows.schema[id_col].dataType.simpleString()
@@ -457,7 +556,7 @@ def restored_records(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         votes[c] = votes.get(c, 0) + len(x["form"]) * (2 if x["strong"] else 1)
                         per.setdefault(c, []).append(x["form"])
                 order = sorted(votes, key=lambda c: (-votes[c] * (1.5 if c.count(">") > 1 else 1), c))  # what was misread twice also has forms of once
-                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h if x["original"] is not None})))
+                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h if x["original"] is not None and x["strong"]})))
             yield pd.DataFrame(out, columns=["id", "restored_text", "complete"])
 
     return src.join(bad, "id").join(per, "id").mapInPandas(run, f"id {id_type}, restored_text string, complete boolean")

@@ -16,11 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslathe.llm.words import words
+from corpuslathe.llm.words import MAX_BITS, bitmap, bits_for, words
 from corpuslathe.runtime import count_up_to, materialize
 
-#: The bitmap has about 16 bits a piece, within these bounds (in powers of two): it never takes more than 16 MB; fuller, it lets more false hits through to the join.
-MIN_BITS, MAX_BITS = 16, 27
 #: Up to this many pieces are broadcast to the hits; beyond it both are shuffled, hits with a salt.
 BROADCAST_PIECES = 100_000
 SALTS = 16
@@ -111,7 +109,7 @@ def _pieces(window: int, size: int):  # noqa: ANN202
     return run
 
 
-def _hits(bitmap: np.ndarray, bits: int, window: int, size: int, budget: int):  # noqa: ANN202
+def _hits(known: np.ndarray, bits: int, window: int, size: int, budget: int):  # noqa: ANN202
     """The places of documents (d, t) whose words hash to a piece, as far as the bitmap tells, with the words around."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,7 +124,7 @@ def _hits(bitmap: np.ndarray, bits: int, window: int, size: int, budget: int):
                 hs = h.words(ws)
                 at = h.places(hs)
                 bit = _bit(at, bits)
-                for q in np.flatnonzero(bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
+                for q in np.flatnonzero(known[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
                     first = max(0, q - reach)
                     rows.append((int(at[q].astype(np.int64)), d, q, first, hs[first : q + size + reach].astype(np.int64).tobytes()))
             if rows:
@@ -187,8 +185,8 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     i_type, d_type = src.schema["i"].dataType.simpleString(), docs.schema["d"].dataType.simpleString()
     pieces = materialize(src.mapInPandas(_pieces(window, size), f"h bigint, i {i_type}, p int, first int, around binary").distinct(), "pieces")
     n = pieces.count()
-    bits = min(max(MIN_BITS, (16 * max(1, n)).bit_length()), max_bits)
-    hits = docs.mapInPandas(_hits(_bitmap(pieces, bits), bits, window, size, budget), f"h bigint, d {d_type}, q int, left int, region binary")
+    bits = bits_for(n, max_bits)
+    hits = docs.mapInPandas(_hits(bitmap(pieces, bits), bits, window, size, budget), f"h bigint, d {d_type}, q int, left int, region binary")
     hits, pieces = hits.withColumnRenamed("d", "doc_id"), pieces.withColumnRenamed("i", "item_id")
     if count_up_to(pieces, broadcast_pieces) <= broadcast_pieces:
         both = hits.join(F.broadcast(pieces), "h")
@@ -198,17 +196,3 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     out = both.mapInPandas(_verified(window, budget, size), f"item_id {i_type}, doc_id {d_type}, distance int, item_word int, doc_word int")
     least = out.groupBy("item_id", "doc_id").agg(F.min(F.struct("distance", "item_word", "doc_word")).alias("m"))
     return least.select("item_id", "doc_id", "m.distance", "m.item_word", "m.doc_word")
-
-
-def _bitmap(pieces: DataFrame, bits: int) -> np.ndarray:
-    """The first `bits` bits of all pieces' hashes as a bitmap; 4 KB for each 32,768 numbers reach the driver, 16 MB at most."""
-    out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
-    number = F.shiftrightunsigned("h", 64 - bits)
-    got = pieces.select(number.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
-    for r in got.collect():
-        # buckets hold the numbers from 1 on: number b stands in bucket b / 32768 + 1 at (b - 1) mod 32768
-        at = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32_768 + 1
-        if r["bucket"] == 0:
-            at = np.zeros(1, np.int64)
-        np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    return out

@@ -10,6 +10,11 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A bitmap has about 16 bits a member, within these bounds (in powers of two): it never takes more than 16 MB; fuller, it lets more through.
+MIN_BITS, MAX_BITS = 16, 27
 
 #: Han and kana ranges (iteration and closing marks that are letters included).
 HAN_KANA = "々-〇ぁ-ゖゝ-ゟァ-ヺー-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
@@ -52,3 +57,21 @@ class Shingler:
             s *= np.uint64(0xBF58476D1CE4E5B9)
             s ^= s >> np.uint64(32)
         return np.unique(s.view(np.int64))
+
+
+def bits_for(members: int, most: int = MAX_BITS) -> int:
+    return min(max(MIN_BITS, (16 * max(1, members)).bit_length()), most)
+
+
+def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The first `bits` bits of all hashes (column h) as a bitmap; 4 KB for each 32,768 numbers reach the driver, 16 MB at most."""
+    out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
+    number = F.shiftrightunsigned("h", 64 - bits)
+    got = hashes.select(number.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    for r in got.collect():
+        # buckets hold the numbers from 1 on: number b stands in bucket b / 32768 + 1 at (b - 1) mod 32768
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["m"]), np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32_768 + 1
+        if r["bucket"] == 0:
+            at = np.zeros(1, np.int64)
+        np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return out

@@ -62,3 +62,24 @@ def test_undone_in_part():
     words = "УЛПМШЪЙФ ЧМЕЧП УФПТПЦ РХУФПН ВБМШОПН"
     assert E.undone(f"{CLEAN[5]}. {CLEAN[6]}. Камера плавно {words}", "koi8-r>cp1251", words.split(), False) is not False
     assert E.undone(CLEAN[5], "cp1251>koi8-r", CLEAN[5].replace(",", "").split(), False) is False
+
+
+def test_only_whole_units_are_replaced_and_checked():
+    assert E.restore("Котик и Кот", {}, {"Кот": "abc"}) == ("Котик и Кот", False)
+    g = "Кот".encode("utf-8").decode("cp1251")
+    chain = {"utf-8>cp1251": [g]}
+    assert E.restore(f"{g} и {g}ик", {}, {g: "Кот"})[1] is False
+    text, done = E.restore(f"a {g}, b", chain, {g: "Кот"})
+    assert (text, done) == ("a Кот, b", True)
+    assert E.restore("a абв b", chain, {"абв": "Кот"}) == ("a абв b", False)  # no chain makes this of it
+
+
+def test_long_words_make_forms(spark):
+    word = "Donaudampfschifffahrtsgesellschaftskapitänsmütze"
+    assert len(word) > 45 and word in E.units(f"x {word} y")[0]
+    g = word.encode("utf-8").decode("cp1252")
+    rows = [(f"c{i}", f"Der {word} {i} ist da und {'abc'[i % 3]}") for i in range(6)] + [("bad", f"Der {g} ist hier")]
+    df = spark.createDataFrame(rows, "id string, text string")
+    assert [tuple(r) for r in E.restored_records(df, "id", "text").collect()] == [("bad", f"Der {word} ist hier", True)]
+    two = "鏡頭" * 30
+    assert len(two) > 40 and two not in E.units(two)[0] and "鏡頭" in E.units(two)[0]
