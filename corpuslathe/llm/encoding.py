@@ -556,7 +556,8 @@ def restored_records(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         votes[c] = votes.get(c, 0) + len(x["form"]) * (2 if x["strong"] else 1)
                         per.setdefault(c, []).append(x["form"])
                 order = sorted(votes, key=lambda c: (-votes[c] * (1.5 if c.count(">") > 1 else 1), c))  # what was misread twice also has forms of once
-                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h if x["original"] is not None and x["strong"]})))
+                proven = {c for x in h if x["strong"] for c in x["chains"]}  # weak forms are replaced only where strong ones show their chain
+                out.append((i, *restore(t, {c: per[c] for c in order}, {x["form"]: x["original"] for x in h if x["original"] is not None and (x["strong"] or proven & set(x["chains"]))})))
             yield pd.DataFrame(out, columns=["id", "restored_text", "complete"])
 
     return src.join(bad, "id").join(per, "id").mapInPandas(run, f"id {id_type}, restored_text string, complete boolean")
