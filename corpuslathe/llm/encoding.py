@@ -192,6 +192,18 @@ def unlikely(text: str) -> float:
     return total + hans - max(fits)
 
 
+@lru_cache(maxsize=16)
+def _unlikely_once(text: str) -> float:
+    """As `unlikely`; the chains of a record are asked one after the other."""
+    return unlikely(text)
+
+
+@lru_cache(maxsize=16)
+def _standing(text: str) -> frozenset[str]:
+    """The units between ASCII delimiters that aren't ASCII."""
+    return frozenset(t for t in _SPLIT.split(text) if t and not t.isascii())
+
+
 def undone(text: str, chain: str, forms_: list[str], strong: bool) -> bool | None:
     """Whether undoing the chain explains the record: True if most of what is beyond ASCII goes and the rest reads clearly better, False if its forms read worse, else None.
 
@@ -203,8 +215,8 @@ def undone(text: str, chain: str, forms_: list[str], strong: bool) -> bool | Non
     got, _ = restore(text, {chain: forms_}, {}, odder=True)
     if got == text:
         return None
-    better = unlikely(text) - unlikely(got)
-    own, new = units(text)[2], units(got)[2]
+    better = _unlikely_once(text) - unlikely(got)
+    own, new = _standing(text), _standing(got)
     if len(forms_) < 3:
         return True if strong and better > 0 and not own & new and all(_plain(c) or c in _TYPOGRAPHIC for c in got) else None
     return True if len(own & new) <= 0.4 * len(own) and better >= max(2, 0.1 * len(_BEYOND.findall(got))) else None
