@@ -396,3 +396,46 @@ def forbidden_columns(df: DataFrame, forbidden: tuple[str, ...]) -> list[str]:
         return own
 
     return [n for n in names(df.schema, "") if any(w.lower() in n.rsplit(".", 1)[-1].lower() for w in forbidden)]
+
+
+def crawl_audit(records: DataFrame, errors: DataFrame, expected: int, complete: bool) -> DataFrame:
+    """(check, actual, expected, passed) of one folder's crawl: records (asset_id, prompt_text) and errors, against the count that the folder reported.
+
+    As many items as expected, all of them different assets with a prompt, none twice, no errors, no URL left; nothing passes before the run is complete.
+    """
+    per = records.groupBy("asset_id").agg(F.count("*").alias("n"), F.sum((F.length(F.trim("prompt_text")) > 0).cast("int")).alias("full"), F.sum(F.lower("prompt_text").rlike("https?://").cast("int")).alias("urls"))
+    got = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("items"), F.count("*").alias("unique"), F.coalesce(F.sum("full"), F.lit(0)).alias("full"), F.count_if(F.col("n") > 1).alias("double"), F.coalesce(F.sum("urls"), F.lit(0)).alias("urls"))
+    row = got.crossJoin(errors.agg(F.count("*").alias("errors")))  # one row each
+    zero, want, ended = F.lit(0), F.lit(expected), F.lit(int(complete))
+    held = lambda c: F.when(ended == 1, F.col(c)).otherwise(F.lit(-1))
+    return _report(_figures(row, {"run_complete": (ended, F.lit(1)), "api_item_count": (F.col("items") + F.col("errors") if complete else F.lit(-1), want), "unique_asset_count": (held("unique"), want), "non_empty_prompt_count": (held("full"), want), "duplicate_asset_count": (F.col("double"), zero), "record_error_count": (F.col("errors"), zero), "prompt_urls_remaining": (F.col("urls"), zero)}))
+
+
+def timeline_faults(beats: DataFrame, key: str) -> DataFrame:
+    """(key, order, fault) of timed beats (key, order, start, end): the first must start at 0, each where the one before ended, and end after it starts; orders count from 1."""
+    w = Window.partitionBy(key).orderBy("order")
+    b = beats.select(key, "order", "start", "end", F.row_number().over(w).alias("_n"), F.lag("end").over(w).alias("_before"))
+    fault = F.when(F.col("order") != F.col("_n"), "order").when(F.col("start").isNull() | F.col("end").isNull(), "no_time").when(F.col("end") <= F.col("start"), "empty").when((F.col("_n") == 1) & (F.col("start") != 0), "starts_late").when(F.col("start") != F.col("_before"), F.when(F.col("start") > F.col("_before"), "gap").otherwise("overlap"))
+    return b.select(key, "order", fault.alias("fault")).where("fault is not null")
+
+
+def package_faults(documents: DataFrame, files: DataFrame, required: dict[str, str]) -> DataFrame:
+    """(path, code, detail) of a package of marked-up documents (path, front_matter, headings, links) and its files (path): required front matter (name to pattern) and links that lead nowhere.
+
+    Links to other places (with a scheme, or to a part of the same document) aren't looked up; others are resolved beside their document.
+    """
+    front = [F.when(~F.coalesce(F.element_at("front_matter", k).rlike(p), F.lit(False)), F.lit(k)) for k, p in required.items()]
+    bad = documents.select("path", F.lit("front_matter").alias("code"), F.explode(F.array_compact(F.array(*front))).alias("detail"))
+    own = documents.select("path", F.explode("links").alias("detail")).where(~F.col("detail").rlike(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:|#)"))
+    folder = F.regexp_replace("path", r"[^/]*$", "")
+    parts = F.split(F.concat(folder, F.regexp_replace("detail", "#.*$", "")), "/")
+    step = lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.array_append(done, x))
+    target = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    lost = own.withColumn("target", target).join(files.select(F.col("path").alias("target")), "target", "left_anti")
+    return bad.unionByName(lost.select("path", F.lit("broken_link").alias("code"), "detail"))
+
+
+def checked(rows: DataFrame, key: str, **checks_: Column) -> DataFrame:
+    """(check, key, passed): each row under each named condition, for `check_counters` and its failures; a null condition has not passed."""
+    each = F.array(*(F.struct(F.lit(n).alias("check"), F.coalesce(c, F.lit(False)).alias("passed")) for n, c in checks_.items()))
+    return rows.select(F.col(key).alias("key"), F.explode(each).alias("c")).select("c.check", "key", "c.passed")

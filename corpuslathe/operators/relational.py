@@ -281,3 +281,20 @@ def case_numbers(df: DataFrame, family: str, *order: Column, prefix: str = "scen
 def group_memberships(selected: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     """(key, group_type, fingerprint): which groups (group_type, fingerprint, key) a selected key belongs to; keys without a group have one row with nulls."""
     return selected.select(key).distinct().join(groups.select(key, "group_type", "fingerprint").distinct(), key, "left")
+
+
+def assembled(keys: DataFrame, key: str, **parts: DataFrame) -> DataFrame:
+    """(key, missing, complete) and, for each part, `n_` and its name: how many rows of each part belong to a key. Parts are counted before they are joined; a part without rows for a key is a completeness error."""
+    out = keys.select(key).distinct()
+    for name, df in parts.items():
+        out = out.join(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(f"n_{name}")), key, "left").withColumn(f"n_{name}", F.coalesce(f"n_{name}", F.lit(0)))
+    gone = F.array_compact(F.array(*(F.when(F.col(f"n_{n}") == 0, F.lit(n)) for n in parts)))
+    return out.withColumn("missing", gone).withColumn("complete", F.size("missing") == 0)
+
+
+def json_features(df: DataFrame, key: str, arrays: dict[str, str]) -> DataFrame:
+    """(key, a column for each array): JSON arrays of texts as arrays, trimmed, in lower case, sorted, each member once; what is no array is an empty one."""
+    from corpuslathe.functions.keys import key as folded
+
+    one = lambda c: F.array_sort(F.array_distinct(F.array_compact(F.transform(F.try_variant_get(F.try_parse_json(c), "$", "array<string>"), lambda x: folded(x)))))
+    return df.select(key, *(F.coalesce(one(c), F.array().cast("array<string>")).alias(n) for n, c in arrays.items()))

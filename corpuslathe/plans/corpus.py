@@ -482,3 +482,21 @@ c AS (SELECT 'derived_direct_asset_total' AS "check", direct AS actual, roots AS
 SELECT "check", CAST(actual AS BIGINT) AS actual, CAST(expected AS BIGINT) AS expected, actual = expected AS passed FROM c UNION ALL SELECT 'all', count(*) FILTER (actual = expected), count(*), bool_and(actual = expected) FROM c""")
 def inventory_checks(spark: SparkSession, d: str) -> DataFrame:
     return C.inventory_audit(R.direct_counts(folders(spark, d)), folders(spark, d))
+
+
+@q("""WITH x AS (SELECT prompt_sha256, count(*) AS n FROM (SELECT DISTINCT prompt_sha256, complexity_queue FROM s) GROUP BY 1), y AS (SELECT prompt_sha256, count(*) AS n FROM a GROUP BY 1), z AS (SELECT a.prompt_sha256, count(*) AS n FROM a JOIN m USING (asset_id) GROUP BY 1)
+SELECT p.prompt_sha256, coalesce(x.n, 0) AS n_strata, coalesce(y.n, 0) AS n_assets, coalesce(z.n, 0) AS n_memberships, x.n IS NOT NULL AND y.n IS NOT NULL AND z.n IS NOT NULL AS complete,
+ concat_ws(',', CASE WHEN x.n IS NULL THEN 'strata' END, CASE WHEN y.n IS NULL THEN 'assets' END, CASE WHEN z.n IS NULL THEN 'memberships' END) AS missing FROM p LEFT JOIN x USING (prompt_sha256) LEFT JOIN y ON y.prompt_sha256 = p.prompt_sha256 LEFT JOIN z ON z.prompt_sha256 = p.prompt_sha256""")
+def assembled_prompts(spark: SparkSession, d: str) -> DataFrame:
+    a = assets(spark, d, "prompt_sha256").select("asset_id", "prompt_sha256")
+    got = R.assembled(prompts(spark, d), "prompt_sha256", strata=strata(spark, d, "complexity_queue"), assets=a, memberships=a.join(memberships(spark, d).select("asset_id"), "asset_id"))
+    return got.withColumn("missing", F.array_join("missing", ","))
+
+
+_SORTED = """array_to_string(list_sort(list_distinct(list_filter([nullif(lower(trim(x)), '') FOR x IN from_json(CASE WHEN json_valid({c}) AND json_type({c}) = 'ARRAY' THEN {c} ELSE '[]' END, '["VARCHAR"]')], lambda x: x IS NOT NULL))), ',')"""
+
+
+@q(f"SELECT DISTINCT prompt_sha256, {_SORTED.format(c='scene_tags_json')} AS scene_tags, {_SORTED.format(c='risk_flags_json')} AS risk_flags, {_SORTED.format(c='queue_reasons_json')} AS queue_reasons FROM s")
+def strata_features(spark: SparkSession, d: str) -> DataFrame:
+    f = R.json_features(strata_rows(spark, d), "prompt_sha256", {"scene_tags": "scene_tags_json", "risk_flags": "risk_flags_json", "queue_reasons": "queue_reasons_json"})
+    return f.select("prompt_sha256", *(F.array_join(c, ",").alias(c) for c in ("scene_tags", "risk_flags", "queue_reasons"))).distinct()

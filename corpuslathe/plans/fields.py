@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslathe.functions import numbers as N
+from corpuslathe.functions import text as T
 from corpuslathe.operators import contracts as C
 from corpuslathe.operators import facts as E
 from corpuslathe.operators import neutral as U
@@ -120,3 +122,23 @@ WHERE NOT (list_contains(t, 'video') AND list_contains(t, 'image'))"""))
 def signal_coverage(spark: SparkSession, d: str) -> DataFrame:
     a = V.assets(spark, d, "folder_id", "asset_type").select(F.col("folder_id").alias("target"), F.array("asset_type").alias("s"))
     return C.signal_coverage(a, "target", "s", ["video", "image"]).select("target", F.array_join("missing", ",").alias("missing"))
+
+
+@q()
+def quality_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Families of checks on what was derived from each prompt, evaluated, passed and failed."""
+    f = X.written_facts(spark, d)
+    s = materialize(X.structure_of(spark, d, f), "structure")
+    fields, p = materialize(_fields(spark, d), "fields"), V.prompts(spark, d)
+    evidence = materialize(U.field_evidence(fields, _texts(spark, d), "prompt_sha256", "prompt_text"), "evidence")
+    bad = C.evidence_faults(evidence, _texts(spark, d), "prompt_sha256", "prompt_text").select("prompt_sha256").distinct().withColumn("_bad", F.lit(True))
+    tail = evidence.groupBy("prompt_sha256").agg(F.max("end").alias("_end"))
+    neutral = fields.groupBy("prompt_sha256").agg(F.bool_or(F.exists("segments", lambda x: x["text"].rlike(T.SYNTAX) | F.contains(x["text"], F.lit("<<<")))).alias("_syntax"))
+    text = p.select("prompt_sha256", F.length("prompt_text").alias("_n"), "analysis_prompt_chars", (F.sha2("prompt_text", 256) == F.col("prompt_sha256")).alias("_hash"), (F.col("url_redaction_count") > 0).alias("_red"))
+    tags = V.strata(spark, d, "text_length_band")
+    j = text.join(s.select("prompt_sha256", F.lit(True).alias("_s")), "prompt_sha256", "left").join(bad, "prompt_sha256", "left").join(tail, "prompt_sha256", "left").join(neutral, "prompt_sha256", "left").join(tags, "prompt_sha256", "left")
+    rows = C.checked(
+        j, "prompt_sha256", source_length=F.col("_n") == F.col("analysis_prompt_chars"), source_hash=F.col("_hash") | F.col("_red"), structure_present=F.col("_s"), evidence_ranges_and_hashes=F.col("_bad").isNull(),
+        model_syntax_isolation=~F.coalesce("_syntax", F.lit(False)), long_prompt_tail_coverage=(F.col("_n") <= 12_000) | (F.col("_end") == F.col("_n")), stratum_present=F.col("text_length_band").isNotNull(), stratum_alignment=F.col("text_length_band") == N.length_band("_n"),
+    )
+    return C.check_counters(rows)

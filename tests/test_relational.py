@@ -158,3 +158,29 @@ def test_schema_validator(spark):
     assert got[0] == {("required", "$.z"), ("minimum", "$.a"), ("enum", "$.b"), ("pattern", "$.c[0]"), ("const", "$.c[2]"), ("maxItems", "$.c"), ("minLength", "$.d"), ("additionalProperties", "$.e")}
     assert got[1] == got[2] == {("invalid_json", "$")}
     assert got[3] == {("additionalProperties", "$.z")} and got[4] == {("required", "$.z"), ("type", "$.a")}
+
+
+def test_audits(spark):
+    r = spark.createDataFrame([("a", "x"), ("b", "see https://y"), ("b", " ")], "asset_id string, prompt_text string")
+    e = spark.createDataFrame([("c",)], "code string")
+    got = {x["check"]: x["passed"] for x in C.crawl_audit(r, e, 4, True).collect()}
+    assert got == {"run_complete": True, "api_item_count": True, "unique_asset_count": False, "non_empty_prompt_count": False, "duplicate_asset_count": False, "record_error_count": False, "prompt_urls_remaining": False, "all": False}
+    assert not any(x["passed"] for x in C.crawl_audit(r.limit(0), e.limit(0), 0, False).where("check in ('run_complete', 'api_item_count', 'unique_asset_count')").collect())
+    assert all(x["passed"] for x in C.crawl_audit(r.limit(0), e.limit(0), 0, True).collect())
+    b = spark.createDataFrame([("k", 1, 0.0, 2.0), ("k", 2, 2.0, 3.0), ("k", 3, 4.0, 5.0), ("l", 1, 1.0, 2.0), ("l", 3, 2.0, 3.0), ("m", 1, 0.0, 2.0), ("m", 2, 1.0, 4.0), ("m", 3, 4.0, 4.0), ("n", 1, None, 1.0)], "k string, order int, start double, end double")
+    assert {tuple(x) for x in C.timeline_faults(b, "k").collect()} == {("k", 3, "gap"), ("l", 1, "starts_late"), ("l", 3, "order"), ("m", 2, "overlap"), ("m", 3, "empty"), ("n", 1, "no_time")}
+    d = spark.createDataFrame([("p/a.md", {"name": "x"}, ["b.md", "../c.md#h", "#here", "https://o", "gone.md"]), ("p/b.md", {"name": "X!", "description": "d"}, [])], "path string, front_matter map<string,string>, links array<string>")
+    f = spark.createDataFrame([("p/a.md",), ("p/b.md",), ("c.md",)], "path string")
+    assert {tuple(x) for x in C.package_faults(d, f, {"name": "^[a-z]+$", "description": "."}).collect()} == {("p/a.md", "front_matter", "description"), ("p/a.md", "broken_link", "gone.md"), ("p/b.md", "front_matter", "name")}
+    c = C.checked(spark.createDataFrame([(1, True), (2, None)], "k int, x boolean"), "k", x=F.col("x"), one=F.col("k") == 1)
+    assert {tuple(r) for r in C.check_counters(c).collect()} == {("x", 2, 1, 1), ("one", 2, 1, 1)}
+
+
+def test_command(spark, tmp_path, capsys):
+    from corpuslathe.__main__ import main
+
+    assert main(["--list"]) == 0 and "exact_clusters" in capsys.readouterr().out
+    assert main(["nothing", "--data", "x"]) == 2 and main(["exact_clusters"]) == 2
+    out = str(tmp_path / "o")
+    assert main(["exact_clusters", "--data", "/root/testdata/sf0.001", "--out", out]) == 0 and spark.read.parquet(out).count() > 0
+    assert main(["corpus_checks", "--data", "/root/testdata/sf0.001", "--out", out]) == 1
