@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import bisect
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,15 +26,23 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str):  # noqa: ANN202
+    """The tokenizer of a vocabulary file, built once a process."""
+    import tiktoken
+
+    with open(vocabulary, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def token_counts(documents: DataFrame, id_col: str, text_col: str, vocabulary: str = TOKENIZER) -> DataFrame:
     """(id, n_tokens) of a public byte-pair vocabulary file, which every executor must be able to read; null text: 0."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import tiktoken
+        from corpuslathe.llm import packing  # the module of the worker, so that its cache outlives the task
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        enc = packing._encoder(vocabulary)
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "n_tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in b["t"]]})
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +91,13 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, d: str) -> langid.Model:
-    return langid.train(langid.training_texts(table(spark, d, "lang_samples"), table(spark, d, "documents")))
+    return _trained(tuple(langid.training_texts(table(spark, d, "lang_samples"), table(spark, d, "documents"))))
+
+
+@lru_cache(maxsize=2)
+def _trained(texts: tuple[tuple[str, str], ...]) -> langid.Model:
+    """The same texts give the same model, so it is trained once a process."""
+    return langid.train(list(texts))
 
 
 @REG.query()
