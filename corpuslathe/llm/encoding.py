@@ -448,17 +448,26 @@ def garbled_units(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _explained(hits: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, yes, no): the chains that explain a record when undone, and those that make it read worse (`undone`), of those where it matters."""
-    each = hits.where("length(form) >= 2").select("id", "form", "strong", "common", F.explode("chains").alias("chain")).distinct()
-    per = each.groupBy("id", "chain").agg(F.collect_set("form").alias("forms"), F.count_if("strong").alias("strong"), F.count_if("common").alias("common"), F.count_if(F.col("strong") & ~F.col("common")).alias("sure"))
-    ask = per.where((F.col("strong") > 0) | (F.size("forms") >= 3)).where("common > 0 or sure = 0")
-    ask = ask.groupBy("id").agg(F.collect_list(F.struct("chain", "forms", (F.col("strong") == F.size("forms")).alias("strong"))).alias("ask"))
+    # forms by record; their chains are told apart where the text is
+    ask = hits.where("length(form) >= 2").groupBy("id").agg(F.collect_set(F.struct("form", "strong", "common", "chains")).alias("ask"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for i, t, ask in zip(b["id"], b["t"], b["ask"], strict=True):
-                said = [(a["chain"], undone(t, a["chain"], list(a["forms"]), a["strong"])) for a in ask]
-                out.append((i, [c for c, x in said if x], [c for c, x in said if x is False]))
+                per: dict[str, list] = {}
+                for x in ask:
+                    for c in x["chains"]:
+                        per.setdefault(c, []).append(x)
+                yes, no = [], []
+                for c, xs in sorted(per.items()):
+                    strong = sum(x["strong"] for x in xs)
+                    # asked where it matters: some form is common, or no form alone is enough
+                    if (strong or len(xs) >= 3) and (any(x["common"] for x in xs) or not any(x["strong"] and not x["common"] for x in xs)):
+                        said = undone(t, c, sorted(x["form"] for x in xs), strong == len(xs))
+                        (yes if said else no if said is False else []).append(c)
+                if yes or no:
+                    out.append((i, yes, no))
             yield pd.DataFrame(out, columns=["id", "yes", "no"])
 
     src = _texts(rows, id_col, text_col).distinct()

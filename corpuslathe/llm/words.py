@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A bitmap has about 16 bits a member, within these bounds (in powers of two): it never takes more than 16 MB; fuller, it lets more through.
+#: A bitmap has about 128 bits a member, within these bounds (in powers of two): it never takes more than 16 MB; fuller, it lets more through.
 MIN_BITS, MAX_BITS = 16, 27
 
 #: Han and kana ranges (iteration and closing marks that are letters included).
@@ -60,7 +60,7 @@ class Shingler:
 
 
 def bits_for(members: int, most: int = MAX_BITS) -> int:
-    return min(max(MIN_BITS, (16 * max(1, members)).bit_length()), most)
+    return min(max(MIN_BITS, (128 * max(1, members)).bit_length()), most)
 
 
 def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
