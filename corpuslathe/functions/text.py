@@ -34,13 +34,31 @@ def collapse(c: Column | str) -> Column:
 _FOLDS = {c: c.casefold() for c in map(chr, range(0x20000)) if not "\ud800" <= c <= "\udfff" and c.casefold().lower() != c.lower() or c == "\u0130"}
 
 
+_RARE = {a: b for a, b in _FOLDS.items() if a not in "ßςẞİ"}
+
+
+def _ranges(chars: list[str]) -> str:
+    """A character class; ranges are far quicker to match than single characters."""
+    out: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
+
+
 def fold(c: Column | str) -> Column:
     """Without case, as Unicode's full folding has it (Cherokee folds to small letters here, which unites the same texts)."""
-    v = col(c)
-    one = {a: b for a, b in _FOLDS.items() if len(b) == 1}
-    several = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _FOLDS.items() if len(b) > 1))
-    full = F.aggregate(several, F.translate(v, "".join(one), "".join(one.values())), lambda s, p: F.replace(s, p["a"], p["b"]))
-    return F.replace(F.lower(F.when(v.rlike(f"[{''.join(_FOLDS)}]"), full).otherwise(v)), F.lit("ς"), F.lit("σ"))  # lower case makes final sigmas
+    low = F.replace(F.replace(F.lower(F.replace(col(c), F.lit("İ"), F.lit("i\u0307"))), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+    one = {a: b for a, b in _RARE.items() if len(b) == 1}
+    several = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _RARE.items() if len(b) > 1))
+
+    def whole(v: Column) -> Column:
+        full = F.aggregate(several, F.translate(v, "".join(one), "".join(one.values())), lambda s, p: F.replace(s, p["a"], p["b"]))
+        return F.when(v.rlike(r"[^\x00-\x7f]") & v.rlike(_ranges(list(_RARE))), full).otherwise(v)
+
+    return let(lambda b: whole(b["v"]), v=low)  # computed once
 
 
 def format_normalize(c: Column | str) -> Column:

@@ -349,8 +349,9 @@ def issues(texts: DataFrame, struct: DataFrame, facts: DataFrame, key: str, text
     cols = [key, text] + ([redactions] if redactions else [])
     # what is asked of the text is asked before the joins, so that it stays behind
     body = T.strip(text)
-    doc = F.try_parse_json(body)
     is_json = body.startswith("{") & body.endswith("}")
+    texts = texts.select(*cols, is_json.alias("_json"), F.when(is_json, F.try_parse_json(body)).alias("_doc"))
+    is_json, doc = F.col("_json"), F.col("_doc")
     settings = F.array_compact(F.array(*(F.when(_unsupported(doc, k, kind), F.lit(k)) for k, kind in SETTING_KEYS.items())))
     lost = F.array_compact(F.array(*(F.when(_has(doc, k) & ~F.col(text).rlike(_setting(k)), F.lit(k)) for k in SETTING_KEYS)))
     seen = {"_bad": is_json & doc.isNull(), "_odd": is_json & (F.size(settings) > 0), "_lost": is_json & (F.size(lost) > 0), "_ufffd": F.contains(F.col(text), F.lit("�"))}
