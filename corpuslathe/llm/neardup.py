@@ -3,7 +3,7 @@
 The document by sequence incidence matrix A is multiplied with its transpose in blocks. A block of rows is some documents, as one record of arrays: its distinct
 sequences and, for each document, where its own are among them; a block of columns is a range of sequences. Columns run from rare to frequent. Two documents
 that are similar share at least 1 + need // SPARE columns among the first of both, need being the overlap that their sizes demand. So the product is taken block by
-block over those head columns, overlap counts accumulate, and size-derived bounds discard pairs as they arise and after the blocks have been summed. For
+block over those head columns, overlap counts accumulate as packed arrays, and size-derived bounds discard pairs as they arise and after the blocks have been summed. For
 the pairs that are left the product goes on over the remaining columns, in blocks of documents that have partners in common. Documents with equal sets are one class.
 """
 
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 
 from corpuslathe.llm.formatdup import pairs_within
 from corpuslathe.llm.words import Shingler
-from corpuslathe.runtime import count_up_to, materialize, small_rows
+from corpuslathe.runtime import count_up_to, discard, materialize, small_rows
 
-#: Cells of a block of rows, and documents it may have; cells of a block of columns.
-ROW_BLOCK_CELLS, ROW_BLOCK_DOCS = 1_000_000, 1 << 20
-COLUMN_BLOCK_CELLS = 2_000_000
+#: Cells of a block of rows, and documents it may have; cells of a block of columns, which a task takes one by one.
+ROW_BLOCK_CELLS, ROW_BLOCK_DOCS = 500_000, 1 << 20
+COLUMN_BLOCK_CELLS = 500_000
+#: Pairs that a task holds before it counts them, or gives the counts out in parts; slices of the pairs for each block of columns.
+HELD_PAIRS, SLICES = 1_000_000, 8
 #: Documents of one head column that meet in one task, and pairs that are completed together.
 BLOCK = 2_000
 PAIRS = 20_000
@@ -217,9 +220,11 @@ def _by_columns(parts: int, crowded: dict[int, int]):  # noqa: ANN202
                 part = (group % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cut = np.searchsorted(part[order], np.arange(parts + 1))
-                for k in np.flatnonzero(np.diff(cut)).tolist():
-                    o = order[cut[k] : cut[k + 1]]
-                    yield pd.DataFrame({"part": [k], "groups": [group[o].tobytes()], "docs": [d[o].tobytes()], "sizes": [n[o].tobytes()], "places": [p[o].tobytes()], "sides": [side[o].tobytes()]})
+                own = np.flatnonzero(np.diff(cut))
+                by = [order[cut[k] : cut[k + 1]] for k in own.tolist()]
+                # half of a column's number will do: two that then look the same only give pairs that are discarded later
+                group, block, d = (group >> np.uint64(32)).astype(np.uint32), int(d[0]) >> 20, (d & (1 << 20) - 1).astype(np.uint32)
+                yield pd.DataFrame({"part": own, "block": block, "groups": [group[o].tobytes() for o in by], "docs": [d[o].tobytes() for o in by], "sizes": [n[o].tobytes() for o in by], "places": [p[o].tobytes() for o in by], "sides": [side[o].tobytes() for o in by]})
 
     return run
 
@@ -236,15 +241,42 @@ def need(t: float, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.ceil(t / (1 + t) * (x.astype(np.int64) + y) - 1e-9).astype(np.int64)
 
 
-def _products(t: float):  # noqa: ANN202
-    """Head cells of a block of columns, sorted by part, to (x, y, xs, ys, n): pairs with the number of head columns that they share in it."""
+def _pack(x: np.ndarray, y: np.ndarray, xs: np.ndarray, ys: np.ndarray, n: np.ndarray) -> bytes:
+    """Pairs by rising x, with sizes and counts, in about a quarter of the bytes: equal bytes of the numbers come together."""
+    columns = ((np.diff(x, prepend=0), np.int64), (y, np.int64), (xs, np.int32), (ys, np.int32), (n, np.int32))
+    return pa.compress(b"".join(np.ascontiguousarray(v, ty).view(np.uint8).reshape(len(x), -1).T.tobytes() for v, ty in columns), codec="zstd", asbytes=True)
 
-    def of(held: list) -> pd.DataFrame | None:
-        group, docs, sizes, places, sides = (np.concatenate([np.frombuffer(h[i], ty) for h in held]) for i, ty in enumerate((np.uint64, np.int64, np.int32, np.int32, np.int8)))
+
+def _unpack(n: int, data: bytes) -> list[np.ndarray]:
+    flat, out, at = np.frombuffer(pa.decompress(data, 28 * n, codec="zstd", asbytes=True), np.uint8), [], 0
+    for width in (8, 8, 4, 4, 4):
+        out.append(np.ascontiguousarray(flat[at : at + width * n].reshape(width, n).T).view(np.int64 if width == 8 else np.int32)[:, 0])
+        at += width * n
+    return [np.cumsum(out[0]), *out[1:]]
+
+
+def _products(t: float, slices: int):  # noqa: ANN202
+    """Head cells of a block of columns, sorted by part, to (slice, n, data): pairs with the number of head columns that they share in it, packed. Where the pairs are many, one may come several times with a part of its number."""
+
+    def of(held: list) -> Iterator[pd.DataFrame]:
+        group, sizes, places, sides = (np.concatenate([np.frombuffer(h[i], ty) for h in held]) for i, ty in ((1, np.uint32), (3, np.int32), (4, np.int32), (5, np.int8)))
+        docs = np.concatenate([h[0] << 20 | np.frombuffer(h[2], np.uint32).astype(np.int64) for h in held])
         names, doc = np.unique(docs, return_inverse=True)
+        size = np.empty(len(names), np.int32)
+        size[doc] = sizes
         o = np.lexsort((doc, sizes, group))
         group, doc, sizes, places, sides = group[o], doc[o], sizes[o], places[o], sides[o]
-        first, codes, k = np.arange(len(group)), [], 0
+
+        def frame(code: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+            x, y = code // len(names), code % len(names)
+            own = (_mixed(names[x]) >> np.uint64(16)) % np.uint64(slices)
+            order = np.argsort(own, kind="stable")
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(own[order])) + 1, [len(own)]])
+            by = [order[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            return pd.DataFrame({"slice": own[order[cut[:-1]]].astype(np.int32), "n": [len(o) for o in by], "data": [_pack(names[x[o]], names[y[o]], size[x[o]], size[y[o]], n[o]) for o in by]})
+
+        first, codes, fresh, k = np.arange(len(group)), [], 0, 0
+        code, n = np.empty(0, np.int64), np.empty(0, np.int64)
         while len(first):
             # each cell meets the k-th after it in its column; sizes rise, so one too large means that all after it are
             k += 1
@@ -257,30 +289,60 @@ def _products(t: float):  # noqa: ANN202
             ok = (sizes[first] - places[first] >= room) & (sizes[second] - places[second] >= room) & ((sides[first] == 0) | (sides[first] != sides[second]))
             x, y = doc[first[ok]], doc[second[ok]]
             codes.append(np.minimum(x, y) * len(names) + np.maximum(x, y))
-        codes = np.concatenate(codes) if codes else np.empty(0, np.int64)
-        if not len(codes):
-            return None
-        code, n = np.unique(codes, return_counts=True)
-        x, y = code // len(names), code % len(names)
-        size = np.empty(len(names), np.int32)
-        size[doc] = sizes
-        return pd.DataFrame({"x": names[x], "y": names[y], "xs": size[x], "ys": size[y], "n": n})
+            fresh += len(x)
+            if fresh > HELD_PAIRS or not len(first):
+                code, at = np.unique(np.concatenate([code, *codes]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([n, np.ones(fresh)]), len(code)).astype(np.int64)
+                codes, fresh = [], 0
+                if len(code) > HELD_PAIRS:
+                    yield frame(code, n)
+                    code, n = code[:0], n[:0]
+        if len(code):
+            yield frame(code, n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, held = None, []
         for b in batches:
-            for row in b[["part", "groups", "docs", "sizes", "places", "sides"]].itertuples(index=False):
+            for row in b[["part", "block", "groups", "docs", "sizes", "places", "sides"]].itertuples(index=False):
                 if held and row[0] != part:
-                    got = of(held)
-                    if got is not None:
-                        yield got
+                    yield from of(held)
                     held = []
                 part = row[0]
                 held.append(row[1:])
         if held:
-            got = of(held)
-            if got is not None:
-                yield got
+            yield from of(held)
+
+    return run
+
+
+def _sums(t: float):  # noqa: ANN202
+    """Rows (slice, n, data) sorted by slice to (x, y, xs, ys): pairs that share enough head columns."""
+
+    def merged(held: list) -> list[np.ndarray]:
+        x, y, xs, ys, n = (np.concatenate(v) for v in zip(*held, strict=True))
+        names, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+        _, first, same = np.unique(at[: len(x)] * len(names) + at[len(x) :], return_index=True, return_inverse=True)
+        return [x[first], y[first], xs[first], ys[first], np.bincount(same, n, len(first)).astype(np.int64)]
+
+    def enough(held: list) -> pd.DataFrame:
+        x, y, xs, ys, n = merged(held)
+        ok = n >= 1 + need(t, xs, ys) // SPARE
+        return pd.DataFrame({"x": x[ok], "y": y[ok], "xs": xs[ok], "ys": ys[ok]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, held, fresh = None, [], 0
+        for b in batches:
+            for k, n, data in zip(b["slice"], b["n"], b["data"], strict=True):
+                if held and k != own:
+                    yield enough(held)
+                    held, fresh = [], 0
+                own = k
+                held.append(_unpack(n, data))
+                fresh += n
+                if fresh > HELD_PAIRS:
+                    held, fresh = [merged(held)], 0
+        if held:
+            yield enough(held)
 
     return run
 
@@ -310,13 +372,13 @@ def _completed(t: float):  # noqa: ANN202
     return run
 
 
-def similar_classes(blocks: DataFrame, members: DataFrame, threshold: float, block: int = BLOCK, pairs: int = PAIRS) -> DataFrame:
-    """(x, y, overlap, similarity) of pairs of representatives with Jaccard similarity >= threshold; x < y, each pair once."""
+def similar_classes(blocks: DataFrame, members: DataFrame, threshold: float, block: int = BLOCK, pairs: int = PAIRS, keep: bool = True) -> DataFrame:
+    """(x, y, overlap, similarity) of pairs of representatives with Jaccard similarity >= threshold; x < y, each pair once, in order. keep: whether the table of blocks stays."""
     spark, t = blocks.sparkSession, float(threshold)
     cells = blocks.agg(F.coalesce(F.sum(F.length("grams") / 8), F.lit(0))).first()[0]
     parts = max(2 * spark.sparkContext.defaultParallelism, int(cells // COLUMN_BLOCK_CELLS) + 1)
     split = blocks.select("block", "grams", "counts").mapInPandas(_split(parts), "part int, block bigint, grams binary, counts binary")
-    told = split.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(_frequencies, "block bigint, part int, kinds binary, numbers binary")
+    told = split.repartitionById(parts, F.col("part")).sortWithinPartitions("part").mapInPandas(_frequencies, "block bigint, part int, kinds binary, numbers binary")
     reps = members.select(F.shiftright("rep", 20).alias("block"), F.col("rep").bitwiseAND(F.lit((1 << 20) - 1)).alias("p")).distinct().groupBy("block").agg(F.array_sort(F.collect_list("p")).alias("p"))  # at most a block's documents
     as_bytes = lambda kind: F.pandas_udf(lambda s: s.map(lambda v: np.asarray(v, kind).tobytes()), "binary")
     none = F.lit(None).cast("binary")
@@ -327,14 +389,16 @@ def similar_classes(blocks: DataFrame, members: DataFrame, threshold: float, blo
     )
     schema = "kind int, doc bigint, size int, cols binary, docs binary, sizes binary, places binary"
     made = materialize(rows.repartition("block").sortWithinPartitions("block", "kind").mapInPandas(_heads(t), schema), "incidence", ["kind"])
+    if not keep:
+        discard(blocks)
     heads = made.where("kind = 1").select("cols", "docs", "sizes", "places")
-    crowded = _crowded(heads, block)
-    parts = max(2 * spark.sparkContext.defaultParallelism, int((heads.agg(F.coalesce(F.sum(F.length("cols") / 8), F.lit(0))).first()[0]) // COLUMN_BLOCK_CELLS) + 1)
-    dealt = heads.mapInPandas(_by_columns(parts, crowded), "part int, groups binary, docs binary, sizes binary, places binary, sides binary")
-    found = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInPandas(_products(t), "x bigint, y bigint, xs int, ys int, n bigint")
-    sums = found.groupBy("x", "y", "xs", "ys").agg(F.sum("n").alias("n"))
-    wanted = F.ceil(F.lit(t / (1 + t)) * (F.col("xs") + F.col("ys")) - 1e-9)
-    left = materialize(sums.where(F.col("n") >= 1 + F.floor(wanted / SPARE)).select("x", "y", "xs", "ys"), "candidates")
+    crowded, more = _crowded(heads, block)
+    cells = heads.agg(F.coalesce(F.sum(F.length("cols") / 8), F.lit(0))).first()[0] + more
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(cells // COLUMN_BLOCK_CELLS) + 1)
+    dealt = heads.mapInPandas(_by_columns(parts, crowded), "part int, block bigint, groups binary, docs binary, sizes binary, places binary, sides binary")
+    slices = SLICES * parts
+    found = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part").mapInPandas(_products(t, slices), "slice int, n int, data binary")
+    left = materialize(found.repartitionById(parts, (F.col("slice") / SLICES).cast("int")).sortWithinPartitions("slice").mapInPandas(_sums(t), "x bigint, y bigint, xs int, ys int"), "candidates")
     # pairs under one leader, the smallest partner of x, mostly have their documents in common; large leaders are split by x
     ends = left.select("x", F.col("x").alias("o")).union(left.select("y", "x"))
     lead = ends.groupBy("x").agg(F.min("o").alias("lead"))
@@ -346,23 +410,25 @@ def similar_classes(blocks: DataFrame, members: DataFrame, threshold: float, blo
     wants = led.select("blk", "x").union(led.select("blk", "y")).distinct().join(docs, "x")
     no = F.lit(None).cast("bigint")
     both = wants.select("blk", F.lit(0).alias("kind"), "x", no.alias("y"), F.lit(0).alias("xs"), F.lit(0).alias("ys"), "cols").unionByName(led.select("blk", F.lit(1).alias("kind"), "x", "y", "xs", "ys", none.alias("cols")))
-    return materialize(both.repartition("blk").sortWithinPartitions("blk", "kind").mapInPandas(_completed(t), "x bigint, y bigint, overlap int, similarity double"), "similar")
+    return materialize(both.repartition("blk").sortWithinPartitions("blk", "kind").mapInPandas(_completed(t), "x bigint, y bigint, overlap int, similarity double"), "similar").orderBy("x", "y")
 
 
-def _crowded(heads: DataFrame, block: int) -> dict[int, int]:
-    """Head columns of more than `block` documents and into how many hands they are dealt; what is large enough to be one rises until there are few."""
+def _crowded(heads: DataFrame, block: int) -> tuple[dict[int, int], int]:
+    """Head columns of more than `block` documents and into how many hands they are dealt, and the cells that this adds; what is large enough to be one rises until there are few."""
+    least = int(_frequency_class(np.array([min(block, 65_535)]))[0])  # the class of a column that so many documents have; only those at or above it can be crowded
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for cols in b["cols"]:
-                c, n = np.unique(np.frombuffer(cols, np.int64), return_counts=True)
+                c = np.frombuffer(cols, np.int64)
+                c, n = np.unique(c[c >> 55 >= least], return_counts=True)
                 yield pd.DataFrame({"c": c, "n": n})
 
     counts = heads.select("cols").mapInPandas(run, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n")).where(F.col("n") > block)
     counts = materialize(counts, "crowded")
     while (rows := small_rows(counts.where(F.col("n") > block), BROADCAST_ROWS)) is None:
         block *= 2
-    return {r["c"]: -(-r["n"] // block) for r in rows}
+    return (hands := {r["c"]: -(-r["n"] // block) for r in rows}), sum(r["n"] * (hands[r["c"]] - 1) for r in rows)
 
 
 def near_duplicate_pairs(rows: DataFrame, id_col: str, text_col: str, width: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -373,7 +439,7 @@ def near_duplicate_pairs(rows: DataFrame, id_col: str, text_col: str, width: int
     """
     blocks = sequence_blocks(rows, id_col, text_col, width)
     members = classes(blocks)
-    sim = similar_classes(blocks, members, threshold)
+    sim = similar_classes(blocks, members, threshold, keep=False)
     m = members.select("id", "rep")
     across = sim.join(m.select(F.col("rep").alias("x"), F.col("id").alias("ix")), "x").join(m.select(F.col("rep").alias("y"), F.col("id").alias("iy")), "y")
     across = across.where("ix <> iy").select(F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b"))
@@ -384,7 +450,7 @@ def near_duplicate_groups(rows: DataFrame, id_col: str, text_col: str, width: in
     """One row per document with sequences: id, class_id (smallest id with an equal set), links (similar other classes), group_id (smallest class id of its connected component)."""
     blocks = sequence_blocks(rows, id_col, text_col, width)
     members = classes(blocks)
-    sim = similar_classes(blocks, members, threshold)
+    sim = similar_classes(blocks, members, threshold, keep=False)
     names = members.groupBy("rep").agg(F.min("id").alias("class_id"))
     ends = sim.select(F.col("x").alias("rep"), F.col("y").alias("o")).union(sim.select("y", "x"))
     links = ends.groupBy("rep").agg(F.count("*").alias("links"))

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,30 @@ def test_near_duplicates(spark, seed, width, threshold, monkeypatch):
     assert run(3, 2) == whole and {p for p in whole if p[0] != p[1]} <= want
 
 
+def test_many_pairs_of_a_column_block(monkeypatch):
+    """A task holds a bounded number of pairs, however many its columns make, and the counts stay whole."""
+    r = np.random.default_rng(2)
+    docs, columns = 150, 6
+    has = r.random((docs, columns)) < 0.9
+    d, c = np.nonzero(has)
+    as_rows = pd.DataFrame({"part": [0], "block": [3], "groups": [c.astype(np.uint32).tobytes()], "docs": [d.astype(np.uint32).tobytes()], "sizes": [np.full(len(d), 20, np.int32).tobytes()], "places": [np.zeros(len(d), np.int32).tobytes()], "sides": [np.zeros(len(d), np.int8).tobytes()]})
+    shared = has.astype(int) @ has.T.astype(int)
+    for held in (10**6, 500, 1):
+        monkeypatch.setattr(neardup, "HELD_PAIRS", held)
+        frames = list(neardup._products(0.6, 7)(iter([as_rows])))
+        total: dict = {}
+        for f in frames:
+            assert f["n"].sum() <= held + len(d)
+            for k, n, data in zip(f["slice"], f["n"], f["data"], strict=True):
+                for x, y, xs, ys, m in zip(*neardup._unpack(n, data), strict=True):
+                    assert 0 <= k < 7 and x < y and xs == ys == 20
+                    total[x - (3 << 20), y - (3 << 20)] = total.get((x - (3 << 20), y - (3 << 20)), 0) + m
+        assert total == {(x, y): shared[x, y] for x in range(docs) for y in range(x + 1, docs) if shared[x, y]}
+        rows = pd.concat(frames).sort_values("slice", kind="stable")
+        got = pd.concat(list(neardup._sums(0.6)(iter([rows.iloc[:5], rows.iloc[5:]]))))
+        assert len(got) == len(total) and {(x - (3 << 20), y - (3 << 20)) for x, y in zip(got["x"], got["y"], strict=True)} == set(total)
+
+
 def test_near_duplicate_groups(spark):
     base = [f"w{i}" for i in range(40)]
     chain = [" ".join(base[i : i + 36]) for i in range(0, 5)]
