@@ -38,6 +38,18 @@ BROADCAST_ROWS = 50_000
 _EXACT = 127
 
 
+def _pressed(v: np.ndarray) -> bytes:
+    """The numbers compressed, equal bytes of them together; `_loose` reverses it."""
+    return len(v).to_bytes(4, "little") + pa.compress(np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1).T.tobytes(), codec="zstd", asbytes=True) if len(v) else b""
+
+
+def _loose(data: bytes, kind: type) -> np.ndarray:
+    if not data:
+        return np.empty(0, kind)
+    n, width = int.from_bytes(data[:4], "little"), np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(data[4:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T).view(kind)[:, 0]
+
+
 def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)])
 
@@ -46,7 +58,7 @@ def sequence_blocks(rows: DataFrame, id_col: str, text_col: str, width: int, cel
     """Blocks of rows: (block, ids, h1, h2, sizes, grams, counts, local). Texts with fewer words than the width are left out.
 
     Document number p of a block is block << 20 | p. h1, h2: hash of its set. grams: the block's distinct sequences, sorted, and counts: how many of its
-    documents have each. local: for each document its places in grams, as steps.
+    documents have each. local: for each document its places in grams, as steps, pressed.
     """
 
     def block(number: int, ids: list, sets: list[np.ndarray]) -> pd.DataFrame:
@@ -58,7 +70,7 @@ def sequence_blocks(rows: DataFrame, id_col: str, text_col: str, width: int, cel
             local[a:b] = np.diff(own, prepend=0)
         digests = [xxhash.xxh3_128_intdigest(x.tobytes()) for x in sets]
         signed = lambda v: v - (1 << 64) if v >> 63 else v
-        return pd.DataFrame({"block": [number], "ids": [ids], "h1": [[signed(d >> 64) for d in digests]], "h2": [[signed(d & (1 << 64) - 1) for d in digests]], "sizes": [sizes.tolist()], "grams": [grams.tobytes()], "counts": [np.minimum(counts, 65_535).astype(np.uint16).tobytes()], "local": [local.tobytes()]})
+        return pd.DataFrame({"block": [number], "ids": [ids], "h1": [[signed(d >> 64) for d in digests]], "h2": [[signed(d & (1 << 64) - 1) for d in digests]], "sizes": [sizes.tolist()], "grams": [grams.tobytes()], "counts": [np.minimum(counts, 65_535).astype(np.uint16).tobytes()], "local": [_pressed(local)]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sh, number = Shingler(width), TaskContext.get().partitionId() << 24
@@ -134,7 +146,7 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             own = inverse[a:b]
             k = kind[own]
             kinds.append(k.tobytes())
-            numbers.append(np.diff(number[own[k > 0]], prepend=0).astype(np.uint32).tobytes())
+            numbers.append(_pressed(np.diff(number[own[k > 0]], prepend=0).astype(np.uint32)))
         return pd.DataFrame({"block": [x[0] for x in held], "part": part, "kinds": kinds, "numbers": numbers})
 
     part, held = None, []
@@ -155,7 +167,7 @@ def _heads(t: float):  # noqa: ANN202
     def of(block: int, told: dict[int, tuple[bytes, bytes]], reps: np.ndarray, sizes: np.ndarray, local: np.ndarray) -> Iterator[pd.DataFrame]:
         columns = []
         for p in sorted(told):
-            kinds, numbers = np.frombuffer(told[p][0], np.uint8), np.cumsum(np.frombuffer(told[p][1], np.uint32), dtype=np.int64)
+            kinds, numbers = np.frombuffer(told[p][0], np.uint8), np.cumsum(_loose(told[p][1], np.uint32), dtype=np.int64)
             c = np.full(len(kinds), -1, np.int64)
             c[kinds > 0] = kinds[kinds > 0].astype(np.int64) << 55 | p << 32 | numbers
             columns.append(c)
@@ -190,7 +202,7 @@ def _heads(t: float):  # noqa: ANN202
                     reps = np.frombuffer(x, np.int64)
                 else:
                     if len(reps):
-                        yield from of(block, told, reps, np.frombuffer(x, np.int32), np.frombuffer(y, np.uint32))
+                        yield from of(block, told, reps, np.frombuffer(x, np.int32), _loose(y, np.uint32))
                     told, reps = {}, np.empty(0, np.int64)
 
     return run
@@ -399,6 +411,7 @@ def similar_classes(blocks: DataFrame, members: DataFrame, threshold: float, blo
     slices = SLICES * parts
     found = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part").mapInPandas(_products(t, slices), "slice int, n int, data binary")
     left = materialize(found.repartitionById(parts, (F.col("slice") / SLICES).cast("int")).sortWithinPartitions("slice").mapInPandas(_sums(t), "x bigint, y bigint, xs int, ys int"), "candidates")
+    discard(made, "kind=1")
     # pairs under one leader, the smallest partner of x, mostly have their documents in common; large leaders are split by x
     ends = left.select("x", F.col("x").alias("o")).union(left.select("y", "x"))
     lead = ends.groupBy("x").agg(F.min("o").alias("lead"))
